@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import copies, percentiles
+from ledgerloom.llm import canonical, copies, percentiles
 from ledgerloom.session import table
 
 
@@ -17,6 +17,12 @@ def p1_records(spark: SparkSession, sf: str) -> DataFrame:
     return copies.collapsed(table(spark, sf, "normalized"))
 
 
+def p2_found(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "normalized")
+    places = canonical.resolve_places(rows, table(spark, sf, "place_ref"))
+    return places.unionByName(canonical.resolve_names(rows, table(spark, sf, "commodity_ref")))
+
+
 def p6_percentiles(spark: SparkSession, sf: str) -> DataFrame:
     """From summaries of each month's load that are merged afterwards."""
     rows = table(spark, sf, "normalized").withColumn("portion", F.trunc("loaded_at", "month"))
@@ -24,4 +30,4 @@ def p6_percentiles(spark: SparkSession, sf: str) -> DataFrame:
     return percentiles.answers(percentiles.combined(parts, ["commodity_id", "year"]), ["commodity_id", "year"])
 
 
-QUERIES = {"p1_found": p1_found, "p1_records": p1_records, "p6_percentiles": p6_percentiles}
+QUERIES = {"p1_found": p1_found, "p1_records": p1_records, "p2_found": p2_found, "p6_percentiles": p6_percentiles}
