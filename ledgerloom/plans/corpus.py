@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.operators import compaction
+from ledgerloom.operators import compaction, units
 from ledgerloom.session import table
 
 
@@ -19,7 +19,22 @@ def p3_report(spark: SparkSession, sf: str) -> DataFrame:
     return report.groupBy().sum("n_rows").toDF("n_rows")
 
 
-QUERIES = {"p3_found": p3_found, "p3_report": p3_report}
+def p5_standard(spark: SparkSession, sf: str) -> DataFrame:
+    """Every settled price by the commodity's standard unit."""
+    refs = table(spark, sf, "commodity_ref"), table(spark, sf, "unit_ref")
+    return units.to_standard_units(table(spark, sf, "normalized"), *refs)
+
+
+def p5_found(spark: SparkSession, sf: str) -> DataFrame:
+    return p5_standard(spark, sf).where("quoted_unit <> std_unit").select("record_id", "quoted_unit")
+
+
+def p5_scales(spark: SparkSession, sf: str) -> DataFrame:
+    refs = table(spark, sf, "commodity_ref"), table(spark, sf, "unit_ref")
+    return units.label_scales(table(spark, sf, "normalized"), *refs)
+
+
+QUERIES = {"p5_found": p5_found, "p5_scales": p5_scales, "p5_standard": p5_standard, "p3_found": p3_found, "p3_report": p3_report}
 ORACLES = {
     "p3_found": r"""
 WITH lines AS (SELECT trim(unnest(regexp_split_to_array(body, '\r\n|\n|\r')), chr(65279) || ' ' || chr(9)) AS line FROM price_files)
