@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerloom.operators import compaction, units
+from ledgerloom.operators import compaction, spikes, units
 from ledgerloom.session import table
 
 
@@ -19,6 +20,18 @@ def p3_report(spark: SparkSession, sf: str) -> DataFrame:
     return report.groupBy().sum("n_rows").toDF("n_rows")
 
 
+def p4_flagged(spark: SparkSession, sf: str) -> DataFrame:
+    """Implausible readings and why; a series is one newspaper's prices of one commodity as written."""
+    rows = table(spark, sf, "normalized").where("year <> 0").select(
+        "record_id", F.substring_index("ref", "/", 1).alias("newspaper"), "commodity_id", "date", "price_per_unit_usd"
+    )
+    return spikes.implausible(rows, ["newspaper", "commodity_id"], "date", "price_per_unit_usd")
+
+
+def p4_found(spark: SparkSession, sf: str) -> DataFrame:
+    return p4_flagged(spark, sf).select("record_id")
+
+
 def p5_standard(spark: SparkSession, sf: str) -> DataFrame:
     """Every settled price by the commodity's standard unit."""
     refs = table(spark, sf, "commodity_ref"), table(spark, sf, "unit_ref")
@@ -34,7 +47,7 @@ def p5_scales(spark: SparkSession, sf: str) -> DataFrame:
     return units.label_scales(table(spark, sf, "normalized"), *refs)
 
 
-QUERIES = {"p5_found": p5_found, "p5_scales": p5_scales, "p5_standard": p5_standard, "p3_found": p3_found, "p3_report": p3_report}
+QUERIES = {"p4_found": p4_found, "p4_flagged": p4_flagged, "p5_found": p5_found, "p5_scales": p5_scales, "p5_standard": p5_standard, "p3_found": p3_found, "p3_report": p3_report}
 ORACLES = {
     "p3_found": r"""
 WITH lines AS (SELECT trim(unnest(regexp_split_to_array(body, '\r\n|\n|\r')), chr(65279) || ' ' || chr(9)) AS line FROM price_files)
