@@ -16,6 +16,7 @@ classes AS (
 """
 
 ORACLES = {
+    "p7_decoded": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
     "p1_found": _P1_KEYS + "SELECT first_id, record_id AS copy_id FROM keyed JOIN classes USING (fields, words) WHERE record_id <> first_id",
     "p1_records": _P1_KEYS + """, later AS (SELECT record_id FROM keyed JOIN classes USING (fields, words) WHERE record_id <> first_id)
 SELECT n.record_id, coalesce(c.n_copies, 1) AS n_copies FROM normalized n LEFT JOIN classes c ON n.record_id = c.first_id

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import canonical, copies, percentiles
+from ledgerloom.llm import bpe, canonical, copies, leaks, percentiles
 from ledgerloom.session import table
 
 
@@ -30,4 +30,30 @@ def p6_percentiles(spark: SparkSession, sf: str) -> DataFrame:
     return percentiles.answers(percentiles.combined(parts, ["commodity_id", "year"]), ["commodity_id", "year"])
 
 
-QUERIES = {"p1_found": p1_found, "p1_records": p1_records, "p2_found": p2_found, "p6_percentiles": p6_percentiles}
+def p7_ids(spark: SparkSession, sf: str) -> DataFrame:
+    return bpe.encode(table(spark, sf, "documents"), bpe.Vocabulary())
+
+
+def p7_decoded(spark: SparkSession, sf: str) -> DataFrame:
+    """The texts read back from their ids; null texts come back empty."""
+    vocabulary = bpe.Vocabulary()
+    coded = bpe.encode(table(spark, sf, "documents"), vocabulary)
+    return coded.select("doc_id", bpe.decode(vocabulary, F.col("ids")).alias("text"))
+
+
+def p8_spans(spark: SparkSession, sf: str) -> DataFrame:
+    return leaks.spans(table(spark, sf, "documents"), table(spark, sf, "eval_items"))
+
+
+def p8_found(spark: SparkSession, sf: str) -> DataFrame:
+    return p8_spans(spark, sf).select("doc_id", "item_id")
+
+
+def p8_cleaned(spark: SparkSession, sf: str) -> DataFrame:
+    return leaks.without_spans(table(spark, sf, "documents"), p8_spans(spark, sf))
+
+
+QUERIES = {
+    "p7_ids": p7_ids, "p7_decoded": p7_decoded, "p8_found": p8_found, "p8_spans": p8_spans, "p8_cleaned": p8_cleaned,
+    "p1_found": p1_found, "p1_records": p1_records, "p2_found": p2_found, "p6_percentiles": p6_percentiles,
+}
