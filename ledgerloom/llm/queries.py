@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, canonical, copies, leaks, percentiles
+from ledgerloom.llm import bpe, canonical, copies, leaks, percentiles, spam
 from ledgerloom.session import table
 
 
@@ -53,7 +53,16 @@ def p8_cleaned(spark: SparkSession, sf: str) -> DataFrame:
     return leaks.without_spans(table(spark, sf, "documents"), p8_spans(spark, sf))
 
 
+def p9_scores(spark: SparkSession, sf: str) -> DataFrame:
+    return spam.scores(table(spark, sf, "documents"))
+
+
+def p9_found(spark: SparkSession, sf: str) -> DataFrame:
+    return p9_scores(spark, sf).where("score > 0.5").select("doc_id")
+
+
 QUERIES = {
+    "p9_found": p9_found, "p9_scores": p9_scores,
     "p7_ids": p7_ids, "p7_decoded": p7_decoded, "p8_found": p8_found, "p8_spans": p8_spans, "p8_cleaned": p8_cleaned,
     "p1_found": p1_found, "p1_records": p1_records, "p2_found": p2_found, "p6_percentiles": p6_percentiles,
 }
