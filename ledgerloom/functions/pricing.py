@@ -10,8 +10,17 @@ from ledgerloom import dims
 SANITY_RATIO, CONSENSUS_RATIO, CONFIDENCE_FLOOR = 1000.0, 10.0, 0.5
 
 
+def sql_literal(x: object) -> str:
+    if isinstance(x, (list, tuple)):
+        return "array(" + ", ".join(map(sql_literal, x)) + ")"
+    if isinstance(x, str):
+        return "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return f"{x!r}D" if isinstance(x, float) else repr(x)
+
+
 def literal_map(rows: list[tuple]) -> Column:
-    return F.create_map(*[F.lit(x) for row in rows for x in row])
+    """A map literal, parsed in one go; the optimizer folds it."""
+    return F.expr("map(" + ", ".join(sql_literal(x) for row in rows for x in row) + ")")
 
 
 def continental_rate(year: Column) -> Column:

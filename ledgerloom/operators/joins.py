@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.pricing import sql_literal
+
 #: Dimension tables above this many rows are not turned into expressions.
 MOST_CASES = 1000
 
@@ -25,8 +27,9 @@ def longest_prefix(value: Column, rows: Sequence[tuple]) -> Column:
     return F.lit(None).cast("int") if out is None else out
 
 
-def pick(index: Column, values: Sequence, kind: str) -> Column:
-    return F.get(F.lit(list(values)) if kind != "array<string>" else F.array(*[F.array(*map(F.lit, v)) for v in values]), index)
+def pick(index: Column, values: Sequence) -> Column:
+    """The value at an index of a literal array, null for a null index."""
+    return F.get(F.expr(sql_literal(list(values))), index)
 
 
 def interval_case(value: Column, spans: Sequence[tuple[int, int, str]]) -> Column:

@@ -30,9 +30,16 @@ def canonical_rows(rows: DataFrame) -> DataFrame:
     Ids without accepted units or bounds are not restricted by them.
     """
     units, bounds = dims.canonical_rows(), dims.bound_rows()
-    at_u, at_b = joins.longest_prefix(F.col(ID), units), joins.longest_prefix(F.col(ID), bounds)
-    accepted = joins.pick(at_u, [u for _, u in units], "array<string>")
-    r = rows.withColumns({"__u": pricing.plain_unit(F.col("unit")), "__ok": at_u.isNull() | F.array_contains(accepted, pricing.plain_unit(F.col("unit")))})
+    # looked up once in each row; the second projection only refers to what the first made
+    r = rows.withColumns({
+        "__u": pricing.plain_unit(F.col("unit")), "__iu": joins.longest_prefix(F.col(ID), units), "__ib": joins.longest_prefix(F.col(ID), bounds),
+    })
+    accepted = joins.pick(F.col("__iu"), [u for _, u in units])
+    lo, hi = (joins.pick(F.col("__ib"), [b[i] for b in bounds]) for i in (1, 2))
+    r = r.withColumns({
+        "__ok": F.col("__iu").isNull() | F.array_contains(accepted, F.col("__u")),
+        "__in": F.col("__ib").isNull() | F.coalesce(F.col(PRICE), F.lit(0.0)).between(lo, hi),
+    })
     counts = r.groupBy(ID, "__u").agg(F.count(F.lit(1)).alias("n"), F.count_if("__ok").alias("k"))
     some = counts.groupBy(ID).agg(
         (F.sum("k") > 0).alias("any_ok"),
@@ -40,8 +47,6 @@ def canonical_rows(rows: DataFrame) -> DataFrame:
         F.min_by("__u", F.struct(-F.col("n"), F.col("__u"))).alias("top_all"),
     )
     r = r.join(some, ID).where(F.when(F.col("any_ok"), F.col("__ok") & (F.col("__u") == F.col("top_ok"))).otherwise(F.col("__u") == F.col("top_all")))
-    lo, hi = joins.pick(at_b, [b[1] for b in bounds], "double"), joins.pick(at_b, [b[2] for b in bounds], "double")
-    r = r.withColumn("__in", at_b.isNull() | F.coalesce(F.col(PRICE), F.lit(0.0)).between(lo, hi))
     inside = r.groupBy(ID).agg(F.count_if("__in").alias("n_in"))
     return r.join(inside, ID).where(F.col("__in") | (F.col("n_in") == 0)).select(*rows.columns)
 
