@@ -88,9 +88,8 @@ def plain(text: Column) -> Column:
     return F.concat(F.lit("; "), F.trim(F.translate(t, "\u0001", ".")), F.lit(" ;"))
 
 
-def stated_unit(text: Column) -> Column:
-    """The words a text prices by (per lb., a pound, 3 lbs for ..., ... for 2 cwt), else null."""
-    p = plain(text)
+def stated_unit(p: Column) -> Column:
+    """The words that plain() text prices by (per lb., a pound, 3 lbs for ..., ... for 2 cwt), else null."""
     after = F.regexp_extract(p, rf"{_PRICE} (?:net )?(?:per|for each|by the|pr|each|an|a|the)(?= )(?! whole) ([^;]+?) ;", 1)
     before = F.regexp_extract(p, rf"; per ([^;]+?) {_PRICE}", 1)
     lot = F.regexp_extract(p, rf"; {_NUMBER} ([^;]+?) (?:for|at) {_PRICE}", 1)
@@ -168,14 +167,15 @@ def _small(df: DataFrame) -> bool:
 def labelled(rows: DataFrame) -> DataFrame:
     """record_id, typed (commodity as typed), by_text, by_unit, price, decade of the rows that have a price."""
     price = F.col("price_per_unit_usd").cast("double")
-    return rows.where(price.isNotNull() & ~F.isnan(price) & F.col("commodity_id").rlike(r"\S")).select(
+    priced = rows.where(price.isNotNull() & ~F.isnan(price) & F.col("commodity_id").rlike(r"\S")).select(
         "record_id",
         F.col("commodity_id").alias("typed"),
-        stated_unit(F.col("original_text")).alias("by_text"),
+        plain(F.col("original_text")).alias("plain"),
         unit_label(F.col("unit")).alias("by_unit"),
         price.alias("price"),
         F.floor(F.col("year") / 10).alias("decade"),
     )
+    return priced.select("record_id", "typed", stated_unit(F.col("plain")).alias("by_text"), "by_unit", "price", "decade")
 
 
 def label_levels(marked: DataFrame, commodity_ref: DataFrame, unit_ref: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -277,7 +277,7 @@ def to_standard_units(rows: DataFrame, commodity_ref: DataFrame, unit_ref: DataF
     Null or empty texts fall back on the unit column. Empty tables give an empty result. Columns beyond
     those named in labelled() are not read.
     """
-    marked = labelled(rows)
+    marked = cut_lineage(labelled(rows))
     found = cut_lineage(label_units(marked, commodity_ref, unit_ref))
     sized = F.broadcast if _small(found) else lambda df: df
     values = F.struct("entry", "quoted_unit", "std_unit", "std_per_unit")
