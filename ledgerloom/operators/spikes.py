@@ -31,7 +31,7 @@ ROUNDS = 6
 #: An outlier stands this many scales off, and at least by this factor.
 SCALES, FACTOR = 5.0, 2.0
 LIMIT_FACTOR = 1000.0
-STUCK_DATES, MOVING_SHARE, LEAST_MOVES = 8, 0.7, 4
+STUCK_DATES, MOVING_SHARE, LEAST_REST, LEAST_REST_SHARE = 8, 0.7, 5, 0.2
 
 KINDS = ("plausible", "limit", "stuck", "spike")
 
@@ -55,9 +55,9 @@ def stuck(day: np.ndarray, price: np.ndarray) -> np.ndarray:
     days = np.where(new_day[first], days, days + 1)
     long = days >= STUCK_DATES
     if long.any():
-        moves = len(first) - 1
-        steps = n - 1 - int((after - first - 1)[long].sum())
-        if moves >= LEAST_MOVES and moves >= MOVING_SHARE * steps:
+        # how the rest of the series behaves: nearly every reading there must differ from the one before
+        rest = int((after - first)[~long].sum())
+        if rest >= max(LEAST_REST, LEAST_REST_SHARE * n) and (~long).sum() >= MOVING_SHARE * rest:
             for a, b in zip(first[long], after[long], strict=True):
                 out[a:b] = True
     return out
