@@ -65,6 +65,7 @@ class TokenSets:
                 self.index[p].append(i)
 
     def cost(self, value: list[str], form: list[str], most: int) -> int:
+        joined = edits("".join(value), "".join(form), most)  # words run together or split
         rest, total = list(value), 0
         for w in sorted(form, key=len, reverse=True):
             if rest:
@@ -75,8 +76,7 @@ class TokenSets:
                     continue
             total += len(w)
             if total > most:
-                return most + 1
-        joined = edits("".join(value), "".join(form), most)  # words run together or split
+                return joined
         return min(total + sum(map(len, rest)), joined)
 
     def best(self, value: list[str], only: set[str] | None = None) -> tuple[str | None, int]:
