@@ -113,11 +113,11 @@ def weak_label() -> Column:
     spam = (
         (given >= 0.6)
         | ((c("shop_share") >= 0.25) & (c("number_share") < 0.25) & (c("small_share") < 0.2))
-        | ((c("top_share") >= 0.14) & (c("repeat_share") >= 0.3) & (c("n_words") >= 40))
+        | ((c("top_share") >= 0.14) & (c("repeat_share") >= 0.3) & (c("number_share") < 0.08) & (c("n_words") >= 40))
         | ((c("repeat_share") >= 0.6) & (c("small_share") < 0.1) & (c("number_share") < 0.1) & (c("n_words") >= 40))
     )
     prose = (c("small_share") >= 0.25) & (c("top_share") < 0.08) & (given < 0.2)
-    lists = (c("number_share") >= 0.12) & (c("shop_share") < 0.12) & (c("top_share") < 0.12) & (given < 0.1)
+    lists = (c("number_share") >= 0.12) & (c("shop_share") < 0.12) & (given < 0.1)
     short = (c("n_words") < 12) & (given < 0.3)
     plain = (c("spam_share") < 0.15) & (given < 0.2) & (c("top_share") < 0.08)
     signs = (c("odd_share") >= 0.02) & (given < 0.2) & (c("shop_share") < 0.15)
