@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.session import cut_lineage
+
 FIELD_BREAK = r"[;|\r\n\x0B\x0C\x{85}\x{2028}\x{2029}]+"
 WORD = r"\p{N}+(?:\.\p{N}+)*|\p{L}[\p{L}\p{M}]*|\p{Sc}"
 GROUPING_COMMA = r"(?<=(?<![\p{N}.,])\p{N}{1,3}(?:,\p{N}{3}){0,9}),(?=\p{N}{3}(?!\p{N}))"
@@ -55,9 +57,9 @@ def classes(rows: DataFrame, id_col: str, text_col: str, name_col: str) -> tuple
     base = rows.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(name_col).alias("name"))
     base = base.where(F.col("text").rlike(r"[\p{L}\p{N}\p{Sc}]")).withColumn("cheap", invariants(F.col("text"), F.col("name")))
     several = base.groupBy("cheap").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("cheap")
-    members = base.join(several, "cheap").select(
-        "id", F.md5(F.concat_ws("\n\n", fields_key(F.col("text")), words_key(F.col("name"))).cast("binary")).alias("key")
-    )
+    key = F.unhex(F.md5(F.concat_ws("\n\n", fields_key(F.col("text")), words_key(F.col("name"))).cast("binary")))
+    # both uses of the members read what is written here; only rows that may have copies are
+    members = cut_lineage(base.join(several, "cheap").select("id", key.alias("key")))
     firsts = members.groupBy("key").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("n_copies")).where("n_copies > 1")
     return members, firsts
 
