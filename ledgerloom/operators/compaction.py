@@ -81,6 +81,12 @@ def compact_parquet(spark: SparkSession, source: str, target: str, target_bytes:
     return files.withColumn("bucket", F.pmod(F.xxhash64("path"), F.lit(outputs))).groupBy("bucket").applyInPandas(copy, REPORT)
 
 
+def drop(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that this run has made."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def records_of_bodies(files: DataFrame, body: str = "body") -> DataFrame:
     """One row for each record_id that a complete JSON object on a line of a body gives.
 
@@ -108,6 +114,7 @@ def consolidate_bodies(spark: SparkSession, files: DataFrame, target: str | None
     records_of_bodies(files).write.parquet(staged)
     report = spark.createDataFrame(compact_parquet(spark, staged, target, target_bytes).collect(), REPORT)
     schema = spark.read.parquet(staged).schema
+    drop(spark, staged)  # every block of it has been copied and counted
     written = sum(r.n_rows for r in report.collect())
     records = spark.read.schema(schema).parquet(target) if written or report.take(1) else spark.createDataFrame([], schema)
     return records, report

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom import dims
 from ledgerloom.functions import pricing, robust
-from ledgerloom.operators import batching, joins, outliers, series
+from ledgerloom.operators import backends, batching, joins, outliers, series
 from ledgerloom.session import shared_path, table
 from ledgerloom.sources import pages, sinks
 from ledgerloom.streaming import incremental
@@ -574,3 +574,49 @@ def events_incremental(spark, sf):
     for _ in range(2):
         incremental.run_available(spark, f"{root}/in", "event_id bigint, event_type string", lambda df: df, f"{root}/out", f"{root}/checkpoint", "parquet")
     return spark.read.parquet(f"{root}/out").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""WITH t AS (SELECT lccn, min(title) AS title FROM issues WHERE title IS NOT NULL AND trim(title, ' ') <> '' GROUP BY 1)
+SELECT split_part(n.ref, '/', 1) AS lccn, coalesce(t.title, split_part(n.ref, '/', 1)) AS title, count(*) AS n FROM normalized n LEFT JOIN t ON t.lccn = split_part(n.ref, '/', 1) GROUP BY 1, 2""")
+def titles_with_fallback(spark, sf):
+    """Records by newspaper, named by its title where there is one; counted before the join."""
+    t = table(spark, sf, "issues").where("title IS NOT NULL AND trim(title) <> ''").groupBy("lccn").agg(F.min("title").alias("t"))
+    n = norm(spark, sf).groupBy(F.substring_index("ref", "/", 1).alias("lccn")).agg(F.count(F.lit(1)).alias("n"))
+    return n.join(t, "lccn", "left").select("lccn", F.coalesce("t", "lccn").alias("title"), "n")
+
+
+@query("SELECT coalesce(TRY_CAST(left(regexp_extract(ref, '/(\\d{4}-\\d{2}-\\d{2})/', 1), 4) AS INT), 0) AS year, t, count(*) AS n, count(price) AS priced FROM mentions_price GROUP BY 1, 2")
+def mentions_by_year(spark, sf):
+    m = table(spark, sf, "mentions_price")
+    return m.groupBy(pricing.ref_year(F.col("ref")).alias(YEAR), "t").agg(F.count(F.lit(1)).alias("n"), F.count("price").alias("priced"))
+
+
+@query("SELECT lower(trim(state, ' ')) AS state, count(*) AS n, count(DISTINCT lccn) AS papers FROM issues WHERE lower(trim(state, ' ')) IN ('ohio', 'new york') GROUP BY 1")
+def issues_of_states(spark, sf):
+    """The state filter, whatever the case."""
+    state = F.lower(F.trim("state")).alias("state")
+    return table(spark, sf, "issues").where(state.isin("ohio", "new york")).groupBy(state).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("lccn").alias("papers"))
+
+
+@query("SELECT DISTINCT stage, key FROM done WHERE key IS NOT NULL QUALIFY row_number() OVER (PARTITION BY stage, key ORDER BY ts DESC) = 1")
+def done_keys(spark, sf):
+    """Each sentinel once, the latest of several."""
+    d = table(spark, sf, "done").where("key IS NOT NULL")
+    return d.groupBy("stage", "key").agg(F.max("ts").alias("ts")).select("stage", "key")
+
+
+@query("""WITH r AS (SELECT category_l1, year // 10 * 10 AS decade, unit FROM normalized WHERE year > 0) SELECT category_l1, decade, count(*) AS n, grouping(category_l1, decade)::BIGINT AS level FROM r GROUP BY ROLLUP (category_l1, decade)""")
+def category_rollup(spark, sf):
+    rows = norm(spark, sf).where("year > 0").select("category_l1", (F.floor(F.col(YEAR) / 10) * 10).cast("int").alias("decade"))
+    return rows.rollup("category_l1", "decade").agg(F.count(F.lit(1)).alias("n"), F.grouping_id().cast("bigint").alias("level"))
+
+
+@query()
+def prices_read_by_rule(spark, sf):
+    """The price texts of all mentions through the rule backend, in batches of fifty; the backend reads no other field."""
+    m = table(spark, sf, "mentions_price").where("price IS NOT NULL").select("ref", F.col("price").alias("price_raw")).distinct()
+    lanes = m.withColumn("lane", F.pmod(F.xxhash64("ref", "price_raw"), F.lit(512)))
+    numbered = batching.chunks(lanes, ["lane"], ["ref", "price_raw"], 50)
+    keyed = numbered.select(F.concat_ws("#", F.col("lane").cast("string"), F.col("chunk").cast("string")).alias("batch"), "idx", "price_raw")
+    schema = "idx int, batch string, price_numeric double, currency_original string, quantity double, time_unit string, confidence double"
+    return backends.run_batches(keyed, backends.RuleBackend, schema)
