@@ -46,7 +46,7 @@ def p8_spans(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p8_found(spark: SparkSession, sf: str) -> DataFrame:
-    return p8_spans(spark, sf).select("doc_id", "item_id")
+    return p8_spans(spark, sf).select("doc_id", "item_id").distinct()
 
 
 def p8_cleaned(spark: SparkSession, sf: str) -> DataFrame:
