@@ -47,6 +47,8 @@ SHOP_WORDS = frozenset(
     kaufen billig preis angebot günstig comprar oferta barato precio acheter soldes cher prix pas""".split()
 )
 LINK = re.compile(r"<a\b[^>]*>|</a>|\[[^\]\n]*\]\([^)\s]*\)|(?:https?://|www\.)\S+|\b[\w-]+(?:\.[\w-]+)*\.[a-z]{2,7}(?:/\S*)?(?=[\s\"'>)\]]|$)", re.I)
+#: Lines without any of these hold no link; most lines of prose are passed over at this cost.
+MAYBE_LINK = re.compile(r"<a|</a|\]\(|://|www\.|[\w-]\.[A-Za-z]{2}", re.I)
 WORD = re.compile(r"#?[^\W_]+(?:['’][^\W_]+)*", re.U)
 #: Signs, scripts and control characters that no page of words is made of.
 ODD = re.compile("[\x00-\x08\x0b\x0c\x0e-\x1f\u0250-\u1fff\u2000-\u200f\u2030-\uffff\U00010000-\U0010ffff]|[$_]{3,}")
@@ -61,7 +63,7 @@ def features(text: str) -> list[float]:
     kinds: list[str] = []  # l link, b label beside a link, t tag, n number, s small word, w other
     words: list[str] = []
     for line in re.split(r"[\r\n]+", text):
-        links = LINK.findall(line)
+        links = LINK.findall(line) if MAYBE_LINK.search(line) else []
         rest = LINK.sub(" ", line) if links else line
         inside = [w for x in links for w in re.findall(r"\[([^\]]*)\]", x)]
         found = WORD.findall(rest) + [w for x in inside for w in WORD.findall(x)]
@@ -80,20 +82,19 @@ def features(text: str) -> list[float]:
         return [0.0] * len(FEATURES)
     kind = Counter(kinds)
     count = Counter(w for w, k in zip(words, kinds) if k in "wbt")
-    plain = [w for w, k in zip(words, kinds) if k == "w"]
-    shop = sum(w in SHOP_WORDS for w in words)
+    shop = sum([w in SHOP_WORDS for w in words])
     often = max(3, n * 0.02)
     repeat = sum(c for c in count.values() if c >= often)
     pairs = Counter(zip(words, words[1:]))
     bigrams = sum(c for c in pairs.values() if c >= 3)
     # stretches of a dozen words: keywords where small words are rare and the others are repeated all over the page or come from shops
     spam = bad = 0
+    marks, weighty = "".join(kinds), SHOP_WORDS | {w for w, c in count.items() if c >= often}
     for a in range(0, n, STRETCH):
-        ks, ws = kinds[a : a + STRETCH], words[a : a + STRETCH]
-        given = sum(k in "lbt" for k in ks)
-        small, number = sum(k == "s" for k in ks), sum(k == "n" for k in ks)
+        ks, ws = marks[a : a + STRETCH], words[a : a + STRETCH]
+        given, small, number = ks.count("l") + ks.count("b") + ks.count("t"), ks.count("s"), ks.count("n")
         rest = [w for w, k in zip(ws, ks) if k == "w"]
-        heavy = sum(w in SHOP_WORDS or count[w] >= often for w in rest)
+        heavy = sum([w in weighty for w in rest])
         odd = len(rest) > 0 and small <= 0.3 * len(ks) and number <= 0.25 * len(ks) and heavy >= 0.45 * len(rest)
         bad += odd
         spam += given + (len(ks) - given if odd or given > 0.7 * len(ks) else 0)
@@ -102,7 +103,7 @@ def features(text: str) -> list[float]:
     return [
         float(n), kind["l"] / n, kind["b"] / n, kind["t"] / n, kind["n"] / n, kind["s"] / n, shop / n, repeat / n, len(set(words)) / n,
         max(count.values(), default=0) / n, bad / (-(-n // STRETCH)), bigrams / n, len(re.findall(r"[.!?](?:\s|$)", text)) / n,
-        sum(w[0].isupper() for w in WORD.findall(text)) / n, short / max(1, len(pieces)), len(ODD.findall(text)) / len(text), spam / n,
+        sum([w[0].isupper() for w in WORD.findall(text)]) / n, short / max(1, len(pieces)), len(ODD.findall(text)) / len(text), spam / n,
     ]
 
 
