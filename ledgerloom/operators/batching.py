@@ -7,7 +7,6 @@ spread over the cluster; a lane is never built as a list.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -88,7 +87,3 @@ def refused(answers: DataFrame, batch: str, reason: str, refusals: Sequence[str]
     )
     one = (F.col("d") == 1) & (F.col("r") >= F.greatest(F.lit(2), F.floor(F.col("n") / 2)))
     return stated.select(batch, ((F.col("g") / F.col("n") >= share) | one).alias("refused"))
-
-
-def lanes_for(n_rows: int, per_lane: int = 1_000_000) -> int:
-    return max(1, math.ceil(n_rows / per_lane))

@@ -8,7 +8,6 @@ tiny text files to one row for each record, so that they can be encoded once and
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import robust
-from ledgerloom.operators.joins import first_by_priority
 
 
 def fences(rows: DataFrame, keys: Sequence[str], value: str, k: float = 1.5, least: int = 5) -> DataFrame:
@@ -34,6 +33,3 @@ def last_per_key(rows: DataFrame, key: str, order: Sequence[Column | str]) -> Da
 def without(rows: DataFrame, marked: DataFrame, key: str) -> DataFrame:
     """Rows whose key is not among the marked ones; null keys stay."""
     return rows.join(marked.select(key).distinct(), key, "left_anti")
-
-
-__all__ = ["fences", "first_by_priority", "flagged", "last_per_key", "without"]

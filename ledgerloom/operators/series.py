@@ -56,8 +56,10 @@ def yearly_medians(rows: DataFrame, least: int = 2) -> DataFrame:
 
     Years of fewer than least fenced values are left out; that is tested before the year's own fence.
     """
-    kept = by_dominant_unit(rows, F.coalesce(F.col("unit"), F.lit("")))
-    c = robust.counted(kept.where((F.col(PRICE) > 0) & (F.col(YEAR) > 0)), [ID, YEAR], PRICE)
+    unit = F.coalesce(F.col("unit"), F.lit(""))
+    # counted by value before anything is joined, so that the join moves distinct values and not rows
+    c = robust.counted(rows.where((F.col(PRICE) > 0) & (F.col(YEAR) > 0)).withColumn("__u", unit), [ID, YEAR, "__u"], PRICE)
+    c = c.join(dominant(rows, ID, unit), ID).where(F.col("__u") == F.col("top")).select(ID, YEAR, "v", "c")
     fence = robust.cross_fence(c.groupBy(ID, "v").agg(F.sum("c").alias("c")), [ID], prefilter=False)
     c = c.join(fence, ID).where(F.col("v").between(F.col("lo"), F.col("hi"))).select(ID, YEAR, "v", "c")
     c = c.withColumn("n", F.sum("c").over(Window.partitionBy(ID, YEAR))).where(F.col("n") >= least).drop("n")

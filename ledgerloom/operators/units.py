@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import functools
 import math
-import re
 from collections.abc import Iterator
 
 import pandas as pd

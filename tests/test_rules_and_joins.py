@@ -1,5 +1,3 @@
-import datetime as dt
-import math
 import random
 
 import pytest
@@ -103,7 +101,7 @@ def test_prompts_and_refusals(spark):
 def test_price_texts(raw, price, currency):
     got = backends.parse_price(raw)
     assert (got["price_numeric"], got["currency_original"]) == (price, currency)
-    assert backends.parse_price("$8 quarterly") | {} == backends.parse_price("$8 quarterly") and backends.parse_price("$8 quarterly")["quantity"] == 3.0
+    assert backends.parse_price("$8 quarterly")["quantity"] == 3.0
     assert backends.parse_price("$90 per annum")["time_unit"] == "year" and backends.parse_price("$5-10")["confidence"] <= 0.7
 
 
@@ -154,4 +152,3 @@ def test_series_on_small_groups(spark):
     assert series.yearly_medians(df.limit(0)).count() == 0 and series.trend(df.limit(0)).count() == 0
     ties = spark.createDataFrame([("x", "b"), ("x", "a"), ("y", None)], "commodity_id string, unit string")
     assert {r.commodity_id: r.top for r in series.dominant(ties, "commodity_id", F.coalesce("unit", F.lit(""))).collect()} == {"x": "a", "y": ""}
-    assert dt.date and math
