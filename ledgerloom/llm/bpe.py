@@ -137,13 +137,15 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text
         vocabulary.maps(),
         lambda maps: F.transform(hexed, lambda w: let(piece_id(maps, w), lambda i: F.struct(i.alias("id"), F.when(i.isNull(), w).alias("w")))),
     )
-    # every word is now an id or, where it is no piece, its bytes
-    cut = cut_lineage(docs.select(F.col(id_col).alias("doc_id"), known.alias("words")))
-    rest = cut.select("doc_id", F.posexplode("words").alias("pos", "x")).where("x.id IS NULL").select("doc_id", "pos", F.col("x.w").alias("word"))
+    words_ = docs.select(F.col(id_col).alias("doc_id"), known.alias("words"))
+    # every word is now an id or, where it is no piece, waits with its bytes; only ids travel with the document
+    waiting = F.filter(F.transform("words", lambda x, i: F.struct(i.alias("pos"), x["w"].alias("word"))), lambda x: x["word"].isNotNull())
+    cut = cut_lineage(words_.select("doc_id", F.transform("words", lambda x: x["id"]).alias("known"), waiting.alias("waiting")))
+    rest = cut.select("doc_id", F.explode("waiting").alias("x")).select("doc_id", "x.pos", "x.word")
     coded = encode_words(rest.select("word").distinct(), vocabulary)
     found = rest.join(coded, "word").groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("pos", "ids"))).alias("more"))
-    ids = F.flatten(F.transform("words", lambda x, i: F.when(x["id"].isNotNull(), F.array(x["id"])).otherwise(F.element_at("more", i))))
-    return cut.join(found, "doc_id", "left").select("doc_id", F.coalesce(ids, F.array().cast("array<int>")).alias("ids"))
+    ids = F.flatten(F.transform("known", lambda x, i: F.when(x.isNotNull(), F.array(x)).otherwise(F.element_at("more", i))))
+    return cut.select("doc_id", "known").join(found, "doc_id", "left").select("doc_id", F.coalesce(ids, F.array().cast("array<int>")).alias("ids"))
 
 
 def decode(vocabulary: Vocabulary, ids: Column) -> Column:
