@@ -9,8 +9,8 @@ For each source (a newspaper's series of one commodity) in order of time:
    next residual), in rounds: what is found is replaced by the level and everything is estimated again.
    A deviation that stays for three or more readings is a level shift and no case.
 
-Sources are never gathered into one task when large: those above CHUNK readings are cut by time at
-approximate quantiles, and each piece is judged with the piece before and after it as context.
+Sources are never gathered into one task when large: those above CHUNK readings are cut by time into as many pieces
+as their own size needs, and each piece is judged with the piece before and after it as context.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Readings of one source that a task judges at once; larger sources are cut.
@@ -157,11 +157,11 @@ def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for table in _sources(batches):
         source, piece = table.column("source").to_numpy(), table.column("piece").to_numpy()
         day, price = table.column("day").to_numpy(), table.column("price").to_numpy()
-        core = table.column("core").to_numpy()
+        core, large = table.column("core").to_numpy(), table.column("large").to_numpy()
         cuts = np.flatnonzero((source[1:] != source[:-1]) | (piece[1:] != piece[:-1])) + 1
         kind = np.zeros(len(price), np.int8)
         for a, b in zip(np.append(0, cuts), np.append(cuts, len(price)), strict=True):
-            if b - a >= LEAST:
+            if large[a] or b - a >= LEAST:  # a piece counts as its whole source does
                 kind[a:b] = judge(day[a:b], price[a:b])
         hit = np.flatnonzero((kind > 0) & core)
         if len(hit):
@@ -186,35 +186,33 @@ def implausible(rows: DataFrame, source: list[str], order: str, value: str, id_c
     )
     sizes = base.groupBy("source").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= LEAST)
     hot = sizes.where(F.col("n") > chunk)
-    pieces = base.select("*", F.lit(0).alias("piece"), F.lit(True).alias("core"))
+    pieces = base.select("*", F.lit(0).alias("piece"), F.lit(True).alias("core"), F.lit(False).alias("large"))
     if hot.take(1):
         pieces = _pieces(base, hot, chunk)
     sorted_rows = (
-        pieces.select("source", "piece", F.xxhash64(F.coalesce("time", F.lit(""))).alias("day"), "time", "price", "record_id", "core")
+        pieces.select("source", "piece", F.xxhash64(F.coalesce("time", F.lit(""))).alias("day"), "time", "price", "record_id", "core", "large")
         .repartition("source", "piece").sortWithinPartitions("source", "piece", "time", "record_id")
-        .select("source", "piece", "day", "price", "record_id", "core")
+        .select("source", "piece", "day", "price", "record_id", "core", "large")
     )
     kind = rows.schema[id_col].dataType.simpleString()
     return sorted_rows.mapInArrow(_judged, f"record_id {kind}, kind string")
 
 
 def _pieces(base: DataFrame, hot: DataFrame, chunk: int) -> DataFrame:
-    """Rows of large sources in pieces of about chunk readings, each row also as context of the two next pieces.
+    """Rows of large sources in pieces of about chunk readings, each row also as context of the two next pieces; other rows as they are.
 
-    Pieces are cut at approximate quantiles of time; readings of one date are spread by their id, so one
-    date may hold any number of them.
+    Every source is cut at its own number of pieces. A reading's place in its source is the count of readings on earlier
+    dates and a share, by its id, of those on its own date, so one date may hold any number of them.
     """
-    at = F.coalesce(F.datediff(F.expr("try_cast(time AS date)"), F.lit("1600-01-01").cast("date")), F.lit(0)).cast("double")
-    spread = base.withColumn("at", at + F.pmod(F.xxhash64("record_id"), F.lit(1 << 20)) / F.lit(float(1 << 20)))
-    hot = F.broadcast(hot.select("source", F.ceil(F.col("n") / chunk).cast("int").alias("k")))  # at most one in chunk rows is a hot source
-    counted = spread.join(hot, "source", "left")
-    most = hot.agg(F.max("k")).first()[0]
-    shares = [i / most for i in range(1, most)]
-    cuts = (
-        counted.where("k IS NOT NULL").groupBy("source").agg(F.percentile_approx("at", shares, 10_000).alias("cuts"))
-    )
-    own = F.size(F.filter(F.coalesce("cuts", F.array().cast("array<double>")), lambda c: c < F.col("at")))
-    placed = spread.join(F.broadcast(cuts), "source", "left").withColumn("own", own)
-    wanted = F.when(F.col("cuts").isNull(), F.array(F.lit(0))).otherwise(F.array(F.col("own") - 1, F.col("own"), F.col("own") + 1))
-    out = placed.select("source", "time", "price", "record_id", "own", F.explode(wanted).alias("piece"))
-    return out.select("source", "time", "price", "record_id", "piece", (F.col("piece") == F.col("own")).alias("core"))
+    hot = F.broadcast(hot.select("source", "n", F.ceil(F.col("n") / chunk).cast("int").alias("k")))  # at most one in chunk rows is a hot source
+    spread = base.join(hot, "source").withColumn("date", F.substring(F.coalesce("time", F.lit("")), 1, 10))
+    before = Window.partitionBy("source").orderBy("date").rowsBetween(Window.unboundedPreceding, -1)  # as many rows as the calendar has dates
+    dates = spread.groupBy("source", "date").agg(F.count(F.lit(1)).alias("on_date"))
+    dates = dates.withColumn("earlier", F.coalesce(F.sum("on_date").over(before), F.lit(0)))
+    share = F.pmod(F.xxhash64("record_id"), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    own = F.floor((F.col("earlier") + share * F.col("on_date")) * F.col("k") / F.col("n")).cast("int")
+    placed = spread.join(dates, ["source", "date"]).withColumn("own", own)
+    wanted = F.filter(F.array(F.col("own") - 1, F.col("own"), F.col("own") + 1), lambda i: (i >= 0) & (i < F.col("k")))
+    cut = placed.select("source", "time", "price", "record_id", "own", F.explode(wanted).alias("piece"))
+    cut = cut.select("source", "time", "price", "record_id", "piece", (F.col("piece") == F.col("own")).alias("core"), F.lit(True).alias("large"))
+    return base.join(hot, "source", "left_anti").select("*", F.lit(0).alias("piece"), F.lit(True).alias("core"), F.lit(False).alias("large")).unionByName(cut)

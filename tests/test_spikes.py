@@ -84,3 +84,14 @@ def test_large_sources_are_cut_without_loss(spark):
     assert run(df) == run(df, chunk=200) == {f"r{i:04d}": "spike" for i in range(7, 1500, 50)}
     one_date = df.selectExpr("record_id", "np", "cid", "'1900-01-01' AS date", "price")
     spikes.implausible(one_date, ["np", "cid"], "date", "price", chunk=200).count()
+
+
+def test_large_sources_of_very_different_size_are_cut_each_by_its_own(spark):
+    """Cut into as many pieces as the large one needs, the small one would leave groups of fewer than LEAST readings."""
+    small, big = series(250, seed=4), series(20_000, seed=5)
+    want = {f"s{i}" for i in range(7, 250, 40)} | {f"b{i}" for i in range(9, 20_000, 500)}
+    date = lambda i: f"18{i // 300:02d}-{i // 25 % 12 + 1:02d}-{i % 25 + 1:02d}"
+    data = [(f"{c}{i}", c, date(i), float(x) * (8 if f"{c}{i}" in want else 1)) for c, p in (("s", small), ("b", big)) for i, x in enumerate(p)]
+    df = spark.createDataFrame(data, "record_id string, np string, date string, price double")
+    got = {r.record_id for r in spikes.implausible(df, ["np"], "date", "price", chunk=200).collect()}
+    assert got == want
