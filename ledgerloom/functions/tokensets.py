@@ -2,11 +2,13 @@
 
 Words are compared as a set: every word of an entry looks for the nearest unused word of the value,
 by the number of letters changed, added, dropped or swapped with their neighbour. What is left over on
-either side counts in full. Entries worth comparing come from an index of letter pairs.
+either side counts in full. An index of letter pairs leaves out the entries that cannot be near enough: an edit
+changes three pairs at most (a swap), and a word run together with its neighbour or split three more.
 """
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
 from collections import Counter, defaultdict
@@ -55,9 +57,9 @@ def pairs(tokens: Iterable[str]) -> set[str]:
 class TokenSets:
     """forms: text of an entry -> entry id. Several forms may mean one entry."""
 
-    def __init__(self, forms: Mapping[str, str], share: float = 0.25, tries: int = 6):
+    def __init__(self, forms: Mapping[str, str], share: float = 0.25):
         self.forms = [(words(f), e) for f, e in forms.items()]
-        self.share, self.tries = share, tries
+        self.share = share
         self.pairs = [pairs(t) for t, _ in self.forms]
         self.index: dict[str, list[int]] = defaultdict(list)
         for i, found in enumerate(self.pairs):
@@ -79,22 +81,29 @@ class TokenSets:
                 return joined
         return min(total + sum(map(len, rest)), joined)
 
+    def _bound(self, value: list[str], own: set[str], i: int, shared: int) -> int:
+        """Edits between the value and form i that share so many pairs, at least."""
+        more, fewer = max(len(value), len(self.forms[i][0])) - 1, min(len(value), len(self.forms[i][0])) - 1
+        return max(0, math.ceil((max(len(own), len(self.pairs[i])) - shared - 2 * more - fewer) / 3))
+
     def best(self, value: list[str], only: set[str] | None = None) -> tuple[str | None, int]:
         """(entry, edits) of the nearest entry within the allowed share of its letters; ties give (None, edits)."""
         own = pairs(value)
         if not own:
             return None, 0
         hits = Counter(i for p in own for i in self.index.get(p, ()) if only is None or self.forms[i][1] in only)
-        ranked = sorted(hits, key=lambda i: (-2 * hits[i] / (len(own) + len(self.pairs[i])), i))[: self.tries]
-        costs: dict[str, float] = {}
-        for i in ranked:
+        # (the least edits that the pairs allow, pairs not shared, form): the nearest are likely to come first
+        ranked = sorted((self._bound(value, own, i, n), max(len(own), len(self.pairs[i])) - n, i) for i, n in hits.items())
+        costs: dict[str, int] = {}
+        least: float = math.inf
+        for bound, _, i in ranked:
+            if bound > least:
+                break  # all that follow are dearer
             form, entry = self.forms[i]
-            most = int(self.share * sum(map(len, form)))
-            c = self.cost(value, form, most)
-            if c <= most:
-                costs[entry] = min(c, costs.get(entry, 99))
+            most = min(int(self.share * sum(map(len, form))), least)
+            if bound <= most and (c := self.cost(value, form, most)) <= most:
+                costs[entry], least = min(c, costs.get(entry, c)), min(c, least)
         if not costs:
             return None, 0
-        least = min(costs.values())
         nearest = [e for e, c in costs.items() if c == least]
         return (nearest[0] if len(nearest) == 1 else None), int(least)

@@ -75,3 +75,18 @@ def test_edits_and_token_sets():
     assert t.best(["fare", "stgae"])[0] == "S" and t.best(["stagefare"])[0] == "S"
     assert t.best(["raw", "woo"])[0] is None  # as near to one as to the other
     assert t.best(["spectacles"])[0] is None and t.best([])[0] is None
+
+
+def test_nearest_entry_is_found_however_many_share_more_pairs():
+    """The nearest of many short names, against costing all of them."""
+    r = random.Random(3)
+    names = sorted({"".join(r.choice("abdeilmnorst") for _ in range(r.randrange(4, 7))) for _ in range(1500)})
+    t = TokenSets({n: n for n in names})
+    for _ in range(250):
+        n = r.choice(names)
+        k = r.randrange(1, len(n) - 1)
+        value = r.choice([n[:k] + n[k + 1] + n[k] + n[k + 2 :], n[:k] + r.choice("abdeilmnorst") + n[k + 1 :]])
+        cost = {m: edits(value, m) for m in names}
+        least = min(cost[m] for m in names if cost[m] <= len(m) // 4)
+        nearest = [m for m in names if cost[m] == least]
+        assert t.best([value]) == (nearest[0] if len(nearest) == 1 else None, least), value
