@@ -26,6 +26,21 @@ def words(value: str | None) -> list[str]:
     return [w.translate(LOOKALIKES) if re.search(r"\d", w) and re.search(r"[^\W\d]", w) else w for w in found]
 
 
+#: Words after which a phrase says more of what stands before them.
+_MORE_OF = frozenset("of from in at by per for to on with and or as see".split())
+
+
+def meant(value: str, mention: list[str]) -> bool:
+    """Whether the value is about what it mentions: by several words, or by one that no head noun of other goods follows in its phrase (cotton gin)."""
+    if len(mention) > 1:
+        return True
+    for phrase in re.split(r"[^\w\s'’/&-]+|\s-+\s", value):
+        tokens = words(phrase)
+        if any(w == mention[0] and (i + 1 == len(tokens) or tokens[i + 1] in _MORE_OF) for i, w in enumerate(tokens)):
+            return True
+    return False
+
+
 def edits(a: str, b: str, most: int = 99) -> int:
     """Letters changed, added, dropped or swapped between a and b; most + 1 stands for all larger counts."""
     if abs(len(a) - len(b)) > most:

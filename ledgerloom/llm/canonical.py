@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.tokensets import TokenSets, words
+from ledgerloom.functions.tokensets import TokenSets, meant, words
 
 #: Lists above this many entries are not sent to the workers whole, but in slices (see mapped()).
 LARGEST_LIST = 200_000
@@ -157,9 +157,9 @@ class Names:
         found = self.mentions.find(tokens)
         if found and not (near and cost <= 1):
             longest = {e for s, t, es in found for e in es if t - s == found[0][1] - found[0][0]}
-            named = len(" ".join(tokens)[found[0][0] : found[0][1]].replace(" ", ""))
-            if len(longest) == 1 and (near is None or near in longest) and letters - named <= 12:
-                return next(iter(longest)), named
+            mention = " ".join(tokens)[found[0][0] : found[0][1]].split()
+            if len(longest) == 1 and (near is None or near in longest) and meant(value, mention):
+                return next(iter(longest)), sum(map(len, mention))
         return (near, max(1, letters - 2 * cost)) if near else ("none", 0)
 
 

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.tokensets import TokenSets, edits, words
+from ledgerloom.functions.tokensets import TokenSets, edits, meant, words
 from ledgerloom.session import cut_lineage
 
 #: Maps above this many rows are joined by a shuffle instead of a broadcast.
@@ -150,11 +150,12 @@ class CommodityNames:
         if near and cost <= 1:
             return near
         spans = [(i, j) for i in range(len(tokens)) for j in range(i + 1, len(tokens) + 1) if " ".join(tokens[i:j]) in self.exact]
-        if spans:  # an id or name among other words, if these are few
-            i, j = max(spans, key=lambda s: len(" ".join(tokens[s[0] : s[1]])))
-            inside = self.exact[" ".join(tokens[i:j])]
-            if near in (None, inside) and sum(map(len, tokens[:i] + tokens[j:])) <= 12:
-                return inside
+        if spans:  # an id or name among other words; of several the longest, if it is one entry's
+            longest = max(len(" ".join(tokens[i:j])) for i, j in spans)
+            best = [(i, j) for i, j in spans if len(" ".join(tokens[i:j])) == longest]
+            inside = {self.exact[" ".join(tokens[i:j])] for i, j in best}
+            if len(inside) == 1 and (near is None or near in inside) and meant(value, tokens[slice(*best[0])]):
+                return inside.pop()
         return near
 
 

@@ -60,3 +60,13 @@ def test_blank_ids_are_on_no_list(spark):
     rows = spark.createDataFrame([("a", "RAW-WOOL"), ("b", "raw wool"), ("c", ""), ("d", None), ("e", " ")], "record_id string, commodity_id string")
     got = {r.record_id: r.entry_id for r in canonical.resolve_names(rows, ref).collect()}
     assert got == {"b": "RAW-WOOL", "c": "none", "e": "none"}
+
+
+def test_a_mention_counts_however_long_the_value():
+    from ledgerloom.operators.units import CommodityNames
+
+    entries = [("FOOD-GRAIN-WHEAT", "Wheat"), ("RAW-WOOL", "Raw Wool"), ("RAW-COTTON", "Cotton")]
+    for judge in (canonical.Names(entries).judge, lambda v: CommodityNames(entries).entry(v) or "none"):
+        for value, want in {"RAW-WOOL (see remarks on page)": "RAW-WOOL", "wheat, as quoted by the merchants": "FOOD-GRAIN-WHEAT", "cotton spinning machinery": "none",
+                            "raw wool or raw cotton of the season": "RAW-COTTON"}.items():
+            assert judge(value) == want, value
