@@ -6,7 +6,7 @@
    log prices in one entity, its median over the entities that both share.
 3. A label whose words name one of the commodity's units is an anchor. Scales of the others against the
    anchors are snapped to the nearest known conversion, and labels settled that way anchor
-   the next round, so scales spread through the graph of sources that share entities.
+   the next round, until a round settles none, so scales spread through the whole graph of sources that share entities.
 4. Prices are divided by the conversion to the commodity's standard unit. Offsets are taken as nought:
    no unit of price has one.
 
@@ -28,8 +28,6 @@ from ledgerloom.session import cut_lineage
 
 #: Maps above this many rows are joined by a shuffle instead of a broadcast.
 BROADCAST_ROWS = 200_000
-#: Rounds in which scales spread from anchored labels to others.
-ROUNDS = 2
 #: A scale snaps to a conversion within this factor, if the next one is at least twice as far off.
 SNAP = math.log(1.25)
 #: Entities and rows that a label must share with anchored ones.
@@ -243,18 +241,32 @@ def snapped(level: DataFrame, anchors: DataFrame, conversions: DataFrame) -> Dat
     return ranked.select("entry", "label", "scale", "entities", "n", F.col("by")[0]["unit"].alias("unit"), clear.alias("clear"))
 
 
+def settle(named: DataFrame, level: DataFrame, conversions: DataFrame) -> DataFrame:
+    """entry, label -> unit: by name, and by scale in rounds until one settles no more."""
+    level = cut_lineage(level)
+    settled = cut_lineage(named.select("entry", "label", F.col("named").alias("unit")).where("unit IS NOT NULL").distinct())
+    while True:
+        rest = level.where("named IS NULL").join(settled, ["entry", "label"], "left_anti")
+        found = cut_lineage(snapped(rest, anchored(level, settled, conversions), conversions).where("clear").select("entry", "label", "unit"))
+        if not found.take(1):
+            return settled
+        settled = cut_lineage(settled.unionByName(found))
+
+
+def unsettled_labels(rows: DataFrame, commodity_ref: DataFrame, unit_ref: DataFrame) -> DataFrame:
+    """entry, label, n, decades: labels with prices that neither words nor scales settle, whose rows to_standard_units() leaves out."""
+    named, level, conversions = label_levels(labelled(rows), commodity_ref, unit_ref)
+    rest = level.join(settle(named, level, conversions), ["entry", "label"], "left_anti")
+    return rest.groupBy("entry", "label").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("decades"))
+
+
 def label_units(marked: DataFrame, commodity_ref: DataFrame, unit_ref: DataFrame) -> DataFrame:
     """typed, label -> entry, quoted_unit, std_unit, std_per_unit for the labels that could be settled.
 
     Labels that name no unit take the conversion to which their scale against the anchored labels snaps.
     """
     named, level, conversions = label_levels(marked, commodity_ref, unit_ref)
-    settled = named.select("entry", "label", F.col("named").alias("unit")).where("unit IS NOT NULL").distinct()
-    unnamed = level.where("named IS NULL")
-    for _ in range(ROUNDS):
-        rest = unnamed.join(settled, ["entry", "label"], "left_anti")
-        found = snapped(rest, anchored(level, settled, conversions), conversions)
-        settled = settled.unionByName(found.where("clear").select("entry", "label", "unit"))
+    settled = settle(named, level, conversions)
     return (
         named.select("typed", "label", "entry").join(settled, ["entry", "label"]).join(conversions, ["entry", "unit"])
         .select("typed", "label", "entry", F.col("unit").alias("quoted_unit"), "std_unit", "std_per_unit")

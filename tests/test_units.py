@@ -58,3 +58,15 @@ def test_empty_tables(spark):
     assert units.to_standard_units(df.limit(0), ref, conv).count() == 0
     assert units.to_standard_units(df, ref.limit(0), conv).count() == 0
     assert units.to_standard_units(df, ref, conv.limit(0)).count() == 0
+
+
+def test_scales_spread_until_nothing_changes(spark):
+    """Labels that follow one another over the decades: each shares three decades with the one before only."""
+    rows = []
+    for step, label in enumerate(["bu", "quux", "zorb", "mimsy", "wabe"]):
+        for decade in range(3 * step, 3 * step + 6):
+            rows += [(f"{label}{decade}-{i}", "GRAIN", f"lot; $1 per {label}", None, 1.0 + i / 100, 1700 + 10 * decade, 1) for i in range(5)]
+    rows.append(("lone", "GRAIN", "lot; $1 per borogove", None, 1.0, 1400, 1))
+    got = {r.record_id for r in units.to_standard_units(*tables(spark, rows)).collect()}
+    assert got == {r[0] for r in rows} - {"lone"}
+    assert [(r.label, r.n, r.decades) for r in units.unsettled_labels(*tables(spark, rows)).collect()] == [("borogove", 1, 1)]
