@@ -18,7 +18,7 @@ def test_unit_phrases(spark):
 
 
 def test_names():
-    n = units.UnitNames({"W": ["bushel", "pound", "hundredweight"], "T": ["ticket", "hundred", "dozen"]})
+    n = units.UnitNames({"W": ["bushel", "pound", "hundredweight"], "T": ["ticket", "hundred", "dozen"]}, units.UNIT_FORMS)
     assert [n.name("W", x) for x in ("bushl", "ponnd", "cental", "lb sharp", "lot", None, "ton")] == ["bushel", "pound", "hundredweight", "pound", None, None, None]
     assert n.name("T", "100") == "hundred" and n.name("X", "lb") is None
     c = units.CommodityNames([("FOOD-GRAIN-WHEAT", "Wheat"), ("RAW-WOOL", "Raw Wool")])
@@ -70,3 +70,38 @@ def test_scales_spread_until_nothing_changes(spark):
     got = {r.record_id for r in units.to_standard_units(*tables(spark, rows)).collect()}
     assert got == {r[0] for r in rows} - {"lone"}
     assert [(r.label, r.n, r.decades) for r in units.unsettled_labels(*tables(spark, rows)).collect()] == [("borogove", 1, 1)]
+
+
+def test_without_word_forms_scales_name_the_units(spark):
+    r = np.random.default_rng(4)
+    rows, want = [], {}
+    for i in range(2000):
+        year, base = 1800 + i % 60, float(np.exp(r.normal(0, 0.1)))
+        label, factor, unit = [("bushel", 1, "bushel"), ("bu", 1, "bushel"), ("lb", 1 / 60, "pound"), ("pd", 1 / 60, "pound"), ("tn", 33.3, "ton")][i % 5]
+        rows.append((f"r{i}", "GRAIN", f"lot; ${base * factor:.6f} per {label}", None, base * factor, year, 1))
+        want[f"r{i}"] = unit
+    got = {x.record_id: (x.quoted_unit, x.by) for x in units.to_standard_units(*tables(spark, rows), forms={}).collect()}
+    assert {k: u for k, (u, _) in got.items()} == want
+    assert {by for k, (_, by) in got.items() if want[k] != "bushel"} == {"scale"}
+
+
+def test_a_link_with_an_offset_is_no_conversion(spark):
+    """A charge of 20 a load is no factor: where prices spread, the line through them does not pass through nought."""
+    rows = []
+    for i in range(400):
+        base = 1.0 + (i // 40)
+        label, price = [("bushel", base), ("cartage", base + 20)][i % 2]
+        rows.append((f"r{i}", "GRAIN", f"lot; ${price} per {label}", None, price, 1500 + 10 * (i // 40), 1))
+    df, ref, conv = tables(spark, rows)
+    named, level, conversions = units.label_levels(units.labelled(df), ref, conv, {})
+    link = [x for x in units.links(level).collect() if x.label == "cartage"]
+    assert len(link) == 1 and (link[0].offset is None or link[0].offset > 0.5)
+    got = units.to_standard_units(df, ref, conv, forms={})
+    assert {x.by for x in got.collect()} == {"anchor"} and got.count() == 200
+
+
+def test_a_map_too_large_to_send_is_joined_by_shuffle(spark, monkeypatch):
+    rows = [(f"r{i}", "GRAIN", "lot; $1 per bu", None, 1.0, 1800 + i, 1) for i in range(30)] + [("n", "GRAIN", None, None, 1.0, 1800, 1)]
+    few = sorted(tuple(x) for x in units.to_standard_units(*tables(spark, rows)).collect())
+    monkeypatch.setattr(units, "BROADCAST_BYTES", 0)
+    assert few == sorted(tuple(x) for x in units.to_standard_units(*tables(spark, rows)).collect()) and len(few) == 30
