@@ -2,11 +2,14 @@
 
 1. Features of content and links: a page is read in stretches of a dozen words; each word is a link, a
    label beside a link, a tag, a number, a small word of running text, or another word.
-2. Weak labels: where the features leave no doubt a page is labelled, else it abstains.
+2. Weak labels: labelling functions, each of one kind of evidence (links, tags, one word over and over, words repeated without running text, few different words;
+   running text, figures, shortness, other scripts), vote or abstain. A page is labelled where all that
+   vote agree. They see only the plain cases; no function knows any word of the trade.
 3. Bagged decision trees (a random forest) are trained on a bounded sample of the labelled pages, and
    score every page.
-4. The pages' scores are averaged by host, shrunk towards the whole corpus, and a page's log odds move a
-   little towards its host's. Averages are partial aggregates, so a host may hold any share of the pages.
+4. The pages' scores are averaged by host and shrunk towards the whole corpus by as much as the hosts' differences
+   are no more than chance (their variance beyond that of the pages within them), and a page's log odds move by what
+   its host's differ from the corpus's. Averages are partial aggregates, so a host may hold any share of the pages.
 """
 
 from __future__ import annotations
@@ -27,8 +30,6 @@ from ledgerloom.session import cut_lineage
 #: Labelled pages used for training at most; they are drawn by a hash of their id.
 TRAIN_ROWS = 20_000
 TREES, DEPTH, SEED = 40, 6, 7
-#: Pages of a host that weigh as much as the corpus does, and the weight of the host in a page's log odds.
-HOST_PRIOR, HOST_WEIGHT = 50.0, 0.15
 STRETCH = 12
 
 #: Small words that running text in the corpus's languages cannot do without.
@@ -40,21 +41,17 @@ SMALL_WORDS = frozenset(
     le la les un une des du de et ou que qui il elle ne pas est était avait été sur dans par pour au aux en a son sa ses qu l d s n y
     el los las una y o que en del al por con para su sus se no es era fue más está han ha lo""".split()
 )
-#: Words of shops and of pages that only lead to other pages.
-SHOP_WORDS = frozenset(
-    """buy cheap best top wholesale sale online near price prices sku cart shipping stock new deal deals shop discount offer offers order free add
-    history old reviews links link directory login sitemap archive index results list page home back rated more next contact menu search tags keywords tag
-    kaufen billig preis angebot günstig comprar oferta barato precio acheter soldes cher prix pas""".split()
-)
 LINK = re.compile(r"<a\b[^>]*>|</a>|\[[^\]\n]*\]\([^)\s]*\)|(?:https?://|www\.)\S+|\b[\w-]+(?:\.[\w-]+)*\.[a-z]{2,7}(?:/\S*)?(?=[\s\"'>)\]]|$)", re.I)
 #: Lines without any of these hold no link; most lines of prose are passed over at this cost.
 MAYBE_LINK = re.compile(r"<a|</a|\]\(|://|www\.|[\w-]\.[A-Za-z]{2}", re.I)
 WORD = re.compile(r"#?[^\W_]+(?:['’][^\W_]+)*", re.U)
 #: Signs, scripts and control characters that no page of words is made of.
 ODD = re.compile("[\x00-\x08\x0b\x0c\x0e-\x1f\u0250-\u1fff\u2000-\u200f\u2030-\uffff\U00010000-\U0010ffff]|[$_]{3,}")
+#: Sums of money, as lists of prices quote them.
+MONEY = re.compile(r"[$£] ?\d|\d[½¼¾]? ?(?:cents?|cts?|dollars?|dolls?|francs?|shillings?)\b", re.I)
 FEATURES = (
-    "n_words", "link_share", "label_share", "tag_share", "number_share", "small_share", "shop_share", "repeat_share", "distinct_share", "top_share",
-    "keyword_stretches", "bigram_share", "sentence_rate", "capital_share", "short_piece_share", "odd_share", "spam_share",
+    "n_words", "link_share", "label_share", "tag_share", "number_share", "small_share", "repeat_share", "distinct_share", "top_share",
+    "keyword_stretches", "bigram_share", "sentence_rate", "capital_share", "short_piece_share", "odd_share", "spam_share", "money_share",
 )
 
 
@@ -82,14 +79,13 @@ def features(text: str) -> list[float]:
         return [0.0] * len(FEATURES)
     kind = Counter(kinds)
     count = Counter(w for w, k in zip(words, kinds) if k in "wbt")
-    shop = sum([w in SHOP_WORDS for w in words])
     often = max(3, n * 0.02)
     repeat = sum(c for c in count.values() if c >= often)
     pairs = Counter(zip(words, words[1:]))
     bigrams = sum(c for c in pairs.values() if c >= 3)
-    # stretches of a dozen words: keywords where small words are rare and the others are repeated all over the page or come from shops
+    # stretches of a dozen words: keywords where small words are rare and the others are repeated all over the page
     spam = bad = 0
-    marks, weighty = "".join(kinds), SHOP_WORDS | {w for w, c in count.items() if c >= often}
+    marks, weighty = "".join(kinds), {w for w, c in count.items() if c >= often}
     for a in range(0, n, STRETCH):
         ks, ws = marks[a : a + STRETCH], words[a : a + STRETCH]
         given, small, number = ks.count("l") + ks.count("b") + ks.count("t"), ks.count("s"), ks.count("n")
@@ -101,30 +97,37 @@ def features(text: str) -> list[float]:
     pieces = [p for p in re.split(r"[,;|*•·\n]+| - | \. ", text) if p.strip()]
     short = sum(len(WORD.findall(p)) <= 5 for p in pieces)
     return [
-        float(n), kind["l"] / n, kind["b"] / n, kind["t"] / n, kind["n"] / n, kind["s"] / n, shop / n, repeat / n, len(set(words)) / n,
+        float(n), kind["l"] / n, kind["b"] / n, kind["t"] / n, kind["n"] / n, kind["s"] / n, repeat / n, len(set(words)) / n,
         max(count.values(), default=0) / n, bad / (-(-n // STRETCH)), bigrams / n, len(re.findall(r"[.!?](?:\s|$)", text)) / n,
         sum([w[0].isupper() for w in WORD.findall(text)]) / n, short / max(1, len(pieces)), len(ODD.findall(text)) / len(text), spam / n,
+        len(MONEY.findall(text)) / n,
     ]
 
 
-def weak_label() -> Column:
-    """1.0 for pages that are spam beyond doubt, 0.0 for pages that are not, null for the others."""
+def votes() -> dict[str, Column]:
+    """The labelling functions: 1 for spam, 0 for none, null to abstain."""
     c = F.col
-    given = c("link_share") + c("label_share") + c("tag_share")
-    spam = (
-        (given >= 0.6)
-        | ((c("shop_share") >= 0.25) & (c("number_share") < 0.25) & (c("small_share") < 0.2))
-        | ((c("top_share") >= 0.14) & (c("repeat_share") >= 0.3) & (c("number_share") < 0.08) & (c("n_words") >= 40))
-        | ((c("repeat_share") >= 0.6) & (c("small_share") < 0.1) & (c("number_share") < 0.1) & (c("n_words") >= 40))
-    )
-    prose = (c("small_share") >= 0.25) & (c("top_share") < 0.08) & (given < 0.2)
-    lists = (c("number_share") >= 0.12) & (c("shop_share") < 0.12) & (given < 0.1)
-    short = (c("n_words") < 12) & (given < 0.3)
-    plain = (c("spam_share") < 0.15) & (given < 0.2) & (c("top_share") < 0.08)
-    signs = (c("odd_share") >= 0.02) & (given < 0.2) & (c("shop_share") < 0.15)
-    ham = prose | lists | short | plain | signs
-    doubtful = (c("spam_share") > 0.4) & (c("spam_share") < 0.6) & (given > 0.2)
-    return F.when(doubtful | (spam & ham), None).when(spam, 1.0).when(ham, 0.0)
+    long, few_links = c("n_words") >= 40, c("link_share") + c("label_share") + c("tag_share") < 0.05
+    return {
+        "links": F.when(c("link_share") + c("label_share") >= 0.65, 1),
+        "tags": F.when(c("tag_share") >= 0.65, 1),
+        "one_word": F.when(long & (c("top_share") >= 0.15) & (c("number_share") < 0.1), 1),
+        "repetition": F.when(long & (c("repeat_share") >= 0.4) & (c("small_share") < 0.15) & (c("number_share") < 0.16) & (c("sentence_rate") < 0.08), 1),
+        "no_sentence": F.when(long & (c("repeat_share") >= 0.3) & (c("small_share") < 0.1) & (c("number_share") < 0.16) & (c("sentence_rate") < 0.02), 1),
+        "few_words": F.when(long & (c("distinct_share") <= 0.2) & (c("number_share") < 0.1) & (c("small_share") < 0.15), 1),
+        "running_text": F.when(few_links & (c("small_share") >= 0.25) & (c("top_share") < 0.1), 0),
+        "figures": F.when(few_links & (c("number_share") >= 0.2), 0),
+        "prices": F.when(few_links & (c("money_share") >= 0.1) & (c("small_share") >= 0.12), 0),
+        "short": F.when(few_links & (c("n_words") < 12), 0),
+        "other_signs": F.when(few_links & (c("odd_share") >= 0.02), 0),
+    }
+
+
+def weak_label() -> Column:
+    """1.0 or 0.0 where every labelling function that votes says so, null where they differ or all abstain."""
+    all_ = list(votes().values())
+    low, high = F.least(*all_), F.greatest(*all_)
+    return F.when(low == high, low.cast("double"))
 
 
 def with_features(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFrame:
@@ -164,13 +167,29 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host
         model = forest.fit(cut_lineage(sample))
         scored = model.transform(pages.select("doc_id", "host", vector.alias("features")))
         judged = scored.select("doc_id", "host", vector_to_array("probability")[1].alias("page_score"))
-    base = pages.agg(F.avg(F.coalesce("label", F.lit(0.5)))).first()[0] or 0.0
-    hosts = judged.groupBy("host").agg(((F.sum("page_score") + HOST_PRIOR * base) / (F.count(F.lit(1)) + HOST_PRIOR)).alias("host_score"))
+    return smoothed(judged)
+
+
+def smoothed(judged: DataFrame) -> DataFrame:
+    """doc_id, host, page_score, host_score, score from doc_id, host and page_score. Where hosts differ by chance only, score is page_score."""
+    by_host = judged.groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.sum("page_score").alias("s"), F.sum(F.col("page_score") * F.col("page_score")).alias("q"))
+    by_host = cut_lineage(by_host)
+    t = by_host.agg(
+        F.count(F.lit(1)).alias("hosts"), F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum(F.col("n") * F.col("n")).alias("nn"),
+        F.sum(F.col("q") - F.col("s") * F.col("s") / F.col("n")).alias("within"), F.sum(F.col("s") * F.col("s") / F.col("n")).alias("ss"),
+    ).first()
+    base, prior = 0.0, None  # prior: pages of a host that weigh as much as the corpus does; none if hosts do not differ
+    if t.n:
+        base, v = t.s / t.n, t.within / max(1, t.n - t.hosts)
+        between = (t.ss - t.s * t.s / t.n - (t.hosts - 1) * v) / max(1e-9, t.n - t.nn / t.n)
+        prior = v / between if between > 0 and t.hosts > 1 else None
+    host_score = F.lit(base) if prior is None else (F.col("s") + prior * base) / (F.col("n") + prior)
+    hosts = by_host.select(F.col("host").alias("of"), host_score.alias("host_score"))
 
     def odds(p):
         q = F.least(F.greatest(p, F.lit(0.01)), F.lit(0.99))
         return F.log(q / (1 - q))
 
-    both = judged.join(hosts, judged["host"].eqNullSafe(hosts["host"])).drop(hosts["host"])
-    moved = odds(F.col("page_score")) + HOST_WEIGHT * (odds(F.col("host_score")) - odds(F.lit(base)))
+    both = judged.join(hosts, judged["host"].eqNullSafe(hosts["of"])).drop("of")
+    moved = odds(F.col("page_score")) + odds(F.col("host_score")) - odds(F.lit(base))
     return both.select("doc_id", "host", "page_score", "host_score", (1 / (1 + F.exp(-moved))).alias("score"))

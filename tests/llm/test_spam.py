@@ -59,3 +59,27 @@ def test_degenerate_tables(spark):
     one = spark.createDataFrame([(1, "h", article(R)), (2, "h", None), (3, "h", " "), (4, None, "wheat"), (4, None, "wheat"), (5, "h", "word " * 40_000)], cols)
     assert sorted(r.doc_id for r in spam.scores(one).collect()) == [1, 4, 4, 5]
     assert spam.features("") == spam.features("...") == [0.0] * len(spam.FEATURES)
+
+
+def test_the_forest_decides_where_the_labels_abstain(spark, pages):
+    df = spark.createDataFrame([(i, h, t) for i, h, t, _ in pages], "doc_id bigint, source string, text string")
+    truth = {i: s for i, _, _, s in pages}
+    labels = {r.doc_id: r.label for r in spam.with_features(df, "doc_id", "text", "source").withColumn("label", spam.weak_label()).collect()}
+    open_ = [i for i in truth if labels[i] is None]
+    assert len(open_) >= 5 and all(labels[i] is None or bool(labels[i]) == truth[i] for i in truth)
+    got = {r.doc_id: r.page_score > 0.5 for r in spam.scores(df).where("page_score IS NOT NULL").collect()}
+    assert sum(got[i] == truth[i] for i in open_) >= 0.9 * len(open_)
+
+
+def test_hosts_move_doubtful_pages_where_hosts_differ(spark):
+    cols = "doc_id bigint, host string, page_score double"
+    rows = [(i, f"farm{i % 5}", 0.9) for i in range(200)] + [(1000 + i, f"paper{i % 5}", 0.04) for i in range(200)]
+    doubtful = [(5000, "farm1", 0.4), (5001, "paper1", 0.6), (5002, None, 0.6)]
+    got = {r.doc_id: r.score for r in spam.smoothed(spark.createDataFrame(rows + doubtful, cols)).collect()}
+    assert got[5000] > 0.5 > got[5001] and len(got) == 403
+    r = random.Random(3)
+    alike = [(i, f"h{i % 10}", r.choice([0.9, 0.05, 0.05])) for i in range(2000)]
+    alike = [(i, h, p) for k, (i, h, p) in enumerate(alike)] + doubtful[:1]
+    got = {x.doc_id: x.score for x in spam.smoothed(spark.createDataFrame(alike, cols)).collect()}
+    assert all((got[i] > 0.5) == (p > 0.5) for i, _, p in alike)
+    assert spam.smoothed(spark.createDataFrame([], cols)).count() == 0
