@@ -5,9 +5,10 @@ For each source (a newspaper's series of one commodity) in order of time:
 2. stuck runs: eight or more successive dates with exactly one reading, in a series that otherwise moves;
 3. a robust autoregression on logarithms: deviations from a running median, clipped for the fit of the
    AR coefficient, residuals scaled by their median absolute deviation;
-4. additive-outlier tests on the residuals (Chen and Liu's statistic for an outlier that touches its own and the
-   next residual), in rounds: what is found is replaced by the level and everything is estimated again.
-   A deviation that stays for three or more readings is a level shift and no case.
+4. additive-outlier and level-shift tests on the residuals (Chen and Liu's statistics: an outlier touches its own and the
+   next residual, a shift all that follow), in rounds: what is found is replaced by the level, the level breaks at
+   shifts, and everything is estimated again. Of the two the one counts that explains more of the residuals;
+   a deviation that stays for three or more readings is no case either way.
 
 Sources are never gathered into one task when large: those above CHUNK readings are cut by time into as many pieces
 as their own size needs, and each piece is judged with the piece before and after it as context.
@@ -73,13 +74,46 @@ def running_median(x: np.ndarray, half: int = HALF_WINDOW) -> np.ndarray:
     return np.concatenate([np.full(half, mid[0]), mid, np.full(half, mid[-1])])
 
 
+def _explained(e: np.ndarray, patterns: np.ndarray) -> float:
+    """How much of the residuals' squares the best mixture of the patterns (columns) takes away; the log likelihood's gain, but for a factor."""
+    best, *_ = np.linalg.lstsq(patterns, e, rcond=None)
+    left = e - patterns @ best
+    return float(e @ e - left @ left)
+
+
+def shift_statistics(x: np.ndarray, off: np.ndarray, a: int, b: int, phi: float) -> tuple[float, float]:
+    """(level shift, additive outlier): the squares of residuals that a lasting shift from a on explains, and that outliers at a..b-1 do.
+
+    Residuals are those of the readings up to HALF_WINDOW after b against the level before a; other readings that stand off are left out.
+    A series that begins with the run has no level before it and hence no shift, one that ends with it cannot tell and is taken for an outlier.
+    """
+    own = np.zeros(len(x), bool)
+    own[a:b] = True
+    before = np.flatnonzero(~off[:a])[-HALF_WINDOW:]
+    end = min(len(x), b + HALF_WINDOW)
+    if len(before) == 0 or end == b:
+        return 0.0, np.inf
+    level = np.median(x[before])
+    if 2 * np.median(x[b : b + 3] - level) * np.sign(x[a] - level) < abs(np.median(x[a:b]) - level):
+        return 0.0, np.inf  # the readings right after the run have returned
+    d = np.where(off & ~own, 0.0, x - level)
+    at = np.arange(a, end)
+    e = d[at] - phi * (d[at - 1])
+    use = (own | ~off)[at] & (own | ~off)[at - 1]
+    use[0] = True
+    lasting = np.where(at == a, 1.0, 1.0 - phi)[:, None]
+    passing = np.stack([np.where(at == k, 1.0, np.where(at == k + 1, -phi, 0.0)) for k in range(a, b)], axis=1)
+    return _explained(e[use], lasting[use]), _explained(e[use], passing[use])
+
+
 def outliers(x: np.ndarray) -> np.ndarray:
     """Which points of a series of logarithms are additive outliers, alone or in pairs."""
     n = len(x)
     found = np.zeros(n, bool)
     clean = x.copy()
+    shifts: list[int] = []
     for _ in range(ROUNDS):
-        level = running_median(clean)
+        level = np.concatenate([running_median(part) for part in np.split(clean, shifts)])
         u = clean - level
         spread = 1.4826 * np.median(np.abs(u)) + 1e-6
         c = np.clip(u, -2.5 * spread, 2.5 * spread)
@@ -93,12 +127,16 @@ def outliers(x: np.ndarray) -> np.ndarray:
         side = np.where(off, np.sign(raw), 0)
         first, after = _runs(np.append(False, side[1:] == side[:-1]))
         short = (side[first] != 0) & (after - first <= 2)
-        now = np.zeros(n, bool)
+        now, lasting = np.zeros(n, bool), set(shifts)
         for a, b in zip(first[short], after[short], strict=True):
-            now[a:b] = True
-        if (now == found).all():
+            shift, outlier = shift_statistics(x, off, a, b, phi)
+            if shift <= outlier:
+                now[a:b] = True
+            elif shift > (SCALES * scale) ** 2 and all(abs(a - s) > HALF_WINDOW for s in (0, n, *lasting)):
+                lasting.add(int(a))
+        if (now == found).all() and len(lasting) == len(shifts):
             break
-        found = now
+        found, shifts = now, sorted(lasting)
         clean = np.where(found, level, x)
     return found
 

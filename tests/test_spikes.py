@@ -95,3 +95,37 @@ def test_large_sources_of_very_different_size_are_cut_each_by_its_own(spark):
     df = spark.createDataFrame(data, "record_id string, np string, date string, price double")
     got = {r.record_id for r in spikes.implausible(df, ["np"], "date", "price", chunk=200).collect()}
     assert got == want
+
+
+def test_a_shift_is_told_from_an_outlier_by_what_follows():
+    r = np.random.default_rng(6)
+    x = np.log(0.5) + r.normal(0, 0.08, 60)
+    x[30:] += 0.8
+    x[31] -= 0.4
+    x[32] -= 0.35  # the first readings after the shift waver, so that it begins as a run of one
+    x[10] += 1.5
+    found = spikes.outliers(x)
+    assert found[10] and not found[25:40].any()
+    off = np.zeros(60, bool)
+    off[30] = True
+    shift, outlier = spikes.shift_statistics(x, off, 30, 31, 0.1)
+    assert shift > outlier
+    shift, outlier = spikes.shift_statistics(x, np.arange(60) == 10, 10, 11, 0.1)
+    assert shift < outlier
+
+
+def test_large_sources_of_very_different_size_are_judged_alike(spark):
+    r = np.random.default_rng(9)
+    rows = []
+    for source, n in (("huge", 6000), ("just large", 150), ("small", 60)):
+        prices = np.exp(np.cumsum(r.normal(0, 0.01, n)) + r.normal(0, 0.03, n))
+        prices[n // 2] *= 9
+        prices[n // 4] = 0
+        rows += [(f"{source}{i}", source, f"18{i // 300:02d}-{i % 300 // 25 + 1:02d}-{i % 25 + 1:02d}", float(p)) for i, p in enumerate(prices)]
+    df = spark.createDataFrame(rows, "record_id string, source string, date string, price double")
+    whole = {(x.record_id, x.kind) for x in spikes.implausible(df, ["source"], "date", "price").collect()}
+    cut = {(x.record_id, x.kind) for x in spikes.implausible(df, ["source"], "date", "price", chunk=100).collect()}
+    planted = {(f"{s}{n // 2}", "spike") for s, n in (("huge", 6000), ("just large", 150), ("small", 60))}
+    planted |= {(f"{s}{n // 4}", "limit") for s, n in (("huge", 6000), ("just large", 150), ("small", 60))}
+    assert planted <= whole and planted <= cut
+    assert len(whole ^ cut) <= 0.002 * len(rows)
