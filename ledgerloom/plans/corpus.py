@@ -15,9 +15,14 @@ def p3_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p3_report(spark: SparkSession, sf: str) -> DataFrame:
-    """Files, blocks and rows of the consolidated files together."""
+    """The rows that the validated outputs hold together."""
+    return p3_outputs(spark, sf).agg(F.sum("n_rows").alias("n_rows"))
+
+
+def p3_outputs(spark: SparkSession, sf: str) -> DataFrame:
+    """n_files, n_blocks, n_rows and n_bytes of each consolidated file."""
     _, report = compaction.consolidate_bodies(spark, table(spark, sf, "price_files"))
-    return report.groupBy().sum("n_rows").toDF("n_rows")
+    return report.drop("output", "schema_key")
 
 
 def p4_flagged(spark: SparkSession, sf: str) -> DataFrame:
@@ -47,7 +52,7 @@ def p5_scales(spark: SparkSession, sf: str) -> DataFrame:
     return units.label_scales(table(spark, sf, "normalized"), *refs)
 
 
-QUERIES = {"p4_found": p4_found, "p4_flagged": p4_flagged, "p5_found": p5_found, "p5_scales": p5_scales, "p5_standard": p5_standard, "p3_found": p3_found, "p3_report": p3_report}
+QUERIES = {"p4_found": p4_found, "p4_flagged": p4_flagged, "p5_found": p5_found, "p5_scales": p5_scales, "p5_standard": p5_standard, "p3_found": p3_found, "p3_report": p3_report, "p3_outputs": p3_outputs}
 ORACLES = {
     "p3_found": r"""
 WITH lines AS (SELECT trim(unnest(regexp_split_to_array(body, '\r\n|\n|\r')), chr(65279) || ' ' || chr(9)) AS line FROM price_files)

@@ -9,7 +9,8 @@ from __future__ import annotations
 
 import hashlib
 import struct
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from typing import Protocol
 
 MAGIC = b"PAR1"
 TRUE, FALSE, BYTE, I16, I32, I64, DOUBLE, BINARY, LIST, SET, MAP, STRUCT = range(1, 13)
@@ -17,6 +18,29 @@ TRUE, FALSE, BYTE, I16, I32, I64, DOUBLE, BINARY, LIST, SET, MAP, STRUCT = range
 Fields = list[tuple[int, int, object]]
 
 
+#: Bytes of a block that are held at a time while it is copied.
+PIECE = 8 << 20
+
+
+class Part(Protocol):
+    """A file that is read by ranges, such as pyarrow's random access files."""
+
+    def size(self) -> int: ...
+
+    def read_at(self, nbytes: int, offset: int) -> bytes: ...
+
+
+class InMemory:
+    def __init__(self, data: bytes):
+        self.data = data
+
+    def size(self) -> int:
+        return len(self.data)
+
+    def read_at(self, nbytes: int, offset: int) -> bytes:
+        return self.data[offset : offset + nbytes]
+
+
 class BlockError(ValueError):
     """A file cannot be joined, or a joined file does not hold what its parts held."""
 
@@ -116,14 +140,21 @@ def _with(fields: Fields, changed: dict[int, tuple[int, object]], dropped: Itera
     return [(f, *kept[f]) for f in sorted(kept)]
 
 
-def split_footer(data: bytes) -> Fields:
-    """The footer of a whole file's bytes."""
-    if len(data) < 12 or data[:4] != MAGIC or data[-4:] != MAGIC:
+def read_footer(part: Part) -> Fields:
+    """The footer of a file, by two range reads."""
+    size = part.size()
+    tail = bytes(part.read_at(8, size - 8)) if size >= 12 else b""
+    if tail[4:] != MAGIC or bytes(part.read_at(4, 0)) != MAGIC:
         raise BlockError("not a plain Parquet file")
-    (n,) = struct.unpack("<I", data[-8:-4])
-    if n + 12 > len(data):
+    (n,) = struct.unpack("<I", tail[:4])
+    if n + 12 > size:
         raise BlockError("the footer is longer than the file")
-    return _Reader(data[-8 - n : -8]).struct()
+    return _Reader(bytes(part.read_at(n, size - 8 - n))).struct()
+
+
+def split_footer(data: bytes) -> Fields:
+    """The footer of a whole file's bytes."""
+    return read_footer(InMemory(data))
 
 
 def schema_key(footer: Fields) -> str:
@@ -140,43 +171,58 @@ def counts(footer: Fields) -> tuple[int, int]:
     return len(groups), rows
 
 
-def join_files(parts: Iterable[bytes]) -> tuple[bytes, dict]:
-    """One file's bytes with all row groups of the parts, in their order, and what was counted.
+def join_parts(parts: Iterable[Part], write: Callable[[bytes], object]) -> dict:
+    """Writes one file with all row groups of the parts, in their order, and says what was counted.
 
-    Parts without rows add nothing. Parts of another schema than the first raise BlockError;
-    group them by schema_key() before. Page indexes and bloom filters lie outside the blocks and
-    are left out (readers fall back to the statistics in the footer).
+    Blocks pass in pieces, so no part is ever held whole. Parts without rows add nothing. Parts of another schema than the
+    first raise BlockError; group them by schema_key() before. Page indexes and bloom filters lie outside the
+    blocks and are left out (readers fall back to the statistics in the footer).
     """
-    body, groups, first = bytearray(MAGIC), [], None
-    files = rows = blocks = 0
-    for data in parts:
-        footer = split_footer(data)
+    groups, first, files, rows, blocks, at = [], None, 0, 0, 0, 0
+
+    def put(data: bytes) -> None:
+        nonlocal at
+        write(data)
+        at += len(data)
+
+    for part in parts:
+        footer = read_footer(part)
         if first is None:
             first = footer
+            put(MAGIC)
         elif schema_key(first) != schema_key(footer):
             raise BlockError("the schemas differ")
-        blocks, rows, files = blocks + counts(footer)[0], rows + counts(footer)[1], files + 1
+        n_groups, n_rows = counts(footer)
+        blocks, rows, files = blocks + n_groups, rows + n_rows, files + 1
         for group in _get(footer, 4, (STRUCT, []))[1]:
-            columns, start_of_group = [], len(body)
+            columns, start_of_group = [], at
             for chunk in _get(group, 1)[1]:
                 if _get(chunk, 1) is not None:
                     raise BlockError("a column lies in another file")
                 meta = _get(chunk, 3)
                 offsets = {f: _get(meta, f) for f in (9, 10, 11) if _get(meta, f)}
                 start, size = min(offsets.values()), _get(meta, 7)
-                block = data[start : start + size]
-                if len(block) != size:
-                    raise BlockError("a column block is cut off")
-                shift = len(body) - start
-                body += block
+                shift, copied = at - start, 0
+                while copied < size:
+                    piece = bytes(part.read_at(min(PIECE, size - copied), start + copied))
+                    if not piece:
+                        raise BlockError("a column block is cut off")
+                    put(piece)
+                    copied += len(piece)
                 meta = _with(meta, {f: (I64, v + shift) for f, v in offsets.items()}, dropped=(14, 15))
                 columns.append(_with(chunk, {2: (I64, 0), 3: (STRUCT, meta)}, dropped=(4, 5, 6, 7)))
             groups.append(_with(group, {1: (LIST, (STRUCT, columns)), 5: (I64, start_of_group)}, dropped=(7,)))
     if first is None:
         raise BlockError("there are no parts")
     footer = _encode(STRUCT, _with(first, {3: (I64, rows), 4: (LIST, (STRUCT, groups))}))
-    body += footer + struct.pack("<I", len(footer)) + MAGIC
-    out = bytes(body)
-    if counts(split_footer(out)) != (blocks, rows):
+    put(footer + struct.pack("<I", len(footer)) + MAGIC)
+    return {"files": files, "blocks": blocks, "rows": rows, "bytes": at}
+
+
+def join_files(parts: Iterable[bytes]) -> tuple[bytes, dict]:
+    """The same for parts and a file held in memory; the joined footer is read back and must hold every block."""
+    out = bytearray()
+    n = join_parts(map(InMemory, parts), out.extend)
+    if counts(split_footer(bytes(out))) != (n["blocks"], n["rows"]):
         raise BlockError("the joined footer does not hold every block")
-    return out, {"files": files, "blocks": blocks, "rows": rows}
+    return bytes(out), {k: n[k] for k in ("files", "blocks", "rows")}

@@ -97,3 +97,21 @@ def test_consolidate_bodies(spark):
     assert report.agg({"n_rows": "sum"}).first()[0] == 22
     empty, _ = compaction.consolidate_bodies(spark, spark.createDataFrame([], "body string"))
     assert empty.count() == 0
+
+
+def test_of_differing_copies_one_whole_copy_is_kept(spark):
+    a = {"record_id": "a", "ref": "n/1", "unit": "lb", "note": "first", "year": 1800}
+    b = {"record_id": "a", "ref": "n/1", "unit": "bu", "year": 1801}
+    c = {"record_id": "a", "unit": "zz", "note": "zz"}  # the latest, but without its page
+    rows = [(json.dumps(c), 3, "x"), (json.dumps(a), 1, "z"), (json.dumps(b) + "\n" + json.dumps(b | {"confidence": 0.5}), 2, "a")]
+    got = compaction.records_of_bodies(spark.createDataFrame(rows, "body string, modified_at int, file_path string")).collect()
+    assert [(r.ref, r.unit, r.note, r.year, r.confidence) for r in got] == [("n/1", "bu", None, 1801, 0.5)]
+
+
+def test_outputs_are_packed_by_size(spark, small_files, tmp_path):
+    src, rows = small_files
+    sizes = [len(open(p, "rb").read()) for p in glob.glob(f"{src}/*.parquet")]
+    target = max(sizes) * 4
+    report = compaction.compact_parquet(spark, str(src), str(tmp_path / "packed"), target_bytes=target).collect()
+    assert sum(r.n_rows for r in report) == len(rows) and sum(r.n_files for r in report) == len(sizes)
+    assert all(r.n_bytes <= target for r in report) and len(report) <= 1 + 2 * sum(sizes) // target
