@@ -9,6 +9,7 @@ from typing import Protocol
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 MOST_HALVINGS = 3
 
@@ -125,17 +126,50 @@ def parse_answer(text: str | None) -> list | None:
     return got if isinstance(got, list) else None
 
 
-def run_batches(items: DataFrame, make: Callable[[], Backend], schema: str, batch: str = "batch") -> DataFrame:
-    """Each batch through a backend built once in each task; answers as rows of schema (idx first)."""
+FAILURE = "_failed_reason string, _halving_depth int"
+
+
+def run_batches(items: DataFrame, make: Callable[[], Backend], schema: str, batch: str = "batch", is_refusal: Callable[[list[dict]], bool] = lambda _: False) -> DataFrame:
+    """Each batch through a backend built once in each task: rows of schema (idx and batch among them) and of FAILURE.
+
+    An answer has a null _failed_reason. An input that stayed without one comes back with the reason, the depth of halving and
+    those of its columns that schema names. A batch is never cut where Arrow cuts the rows; a null batch is a batch.
+    """
+    names = [x.split()[0] for x in f"{schema}, {FAILURE}".split(", ")]
+
+    def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        waiting: list[pd.DataFrame] = []
+        for pdf in batches:
+            for key, part in pdf.groupby(batch, sort=False, dropna=False):
+                if waiting and not (waiting[-1][batch].iloc[0] == key or (pd.isna(key) and pd.isna(waiting[-1][batch].iloc[0]))):
+                    yield pd.concat(waiting)
+                    waiting = []
+                waiting.append(part)
+        if waiting:
+            yield pd.concat(waiting)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         backend = make()
-        names = [x.split()[0] for x in schema.split(", ")]
-        for pdf in batches:
-            rows = []
-            for key, part in pdf.groupby(batch, sort=True):
-                answers, _ = submit(backend, part.astype(object).where(part.notna(), None).to_dict("records"))
-                rows += [a | {batch: key} for a in answers]
-            yield pd.DataFrame(rows, columns=names)
+        for part in whole(batches):
+            inputs = part.astype(object).where(part.notna(), None).to_dict("records")
+            answers, failed = submit(backend, inputs, is_refusal)
+            rows = [a | {batch: inputs[0][batch]} for a in answers] + failed
+            yield pd.DataFrame([{c: r.get(c) for c in names} for r in rows], columns=names)
+
+    return items.repartition(batch).sortWithinPartitions(batch, "idx").mapInPandas(run, f"{schema}, {FAILURE}")
+
+
+def answered(done: DataFrame) -> DataFrame:
+    return done.where("_failed_reason IS NULL").drop("_failed_reason", "_halving_depth")
+
+
+def retry_failed(items: DataFrame, done: DataFrame, make: Callable[[], Backend], schema: str, batch: str = "batch") -> DataFrame:
+    """What run_batches() gave, with every failed input sent once more by the same batch; failures of the second run stay failures."""
+    lost = done.where("_failed_reason IS NOT NULL").select(F.col(batch).alias("__b"), F.col("idx").alias("__i"))
+    again = items.join(lost, F.col(batch).eqNullSafe(F.col("__b")) & (F.col("idx") == F.col("__i")), "left_semi")
+    return done.where("_failed_reason IS NULL").unionByName(run_batches(again, make, schema, batch))
+
 
-    return items.repartition(batch).sortWithinPartitions(batch, "idx").mapInPandas(run, schema)
+def with_status(done: DataFrame, unresolvable: str = "price_numeric IS NULL") -> DataFrame:
+    """Adds status: failed (no answer, may be sent again), unresolved (an answer that settles nothing) or normalized; sinks.route() splits by it."""
+    return done.selectExpr("*", f"CASE WHEN _failed_reason IS NOT NULL THEN 'failed' WHEN {unresolvable} THEN 'unresolved' ELSE 'normalized' END AS status")

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import batching
-from ledgerloom.session import cut_lineage, shared_path
+from ledgerloom.session import cut_lineage, drop, shared_path
 from ledgerloom.sources import parquet_blocks
 
 TARGET_BYTES = 128 << 20
@@ -90,12 +90,6 @@ def compact_parquet(spark: SparkSession, source: str, target: str, target_bytes:
     return packed.groupBy("lane", "batch").applyInPandas(copy, REPORT)
 
 
-def drop(spark: SparkSession, path: str) -> None:
-    """Deletes a folder that this run has made."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-
-
 def records_of_bodies(files: DataFrame, body: str = "body", order: tuple[str, ...] = ("modified_at", "file_path")) -> DataFrame:
     """One row for each record_id that a complete JSON object on a line of a body gives.
 

@@ -611,12 +611,34 @@ def category_rollup(spark, sf):
     return rows.rollup("category_l1", "decade").agg(F.count(F.lit(1)).alias("n"), F.grouping_id().cast("bigint").alias("level"))
 
 
+def _numbered_prices(spark, sf, size: int) -> DataFrame:
+    m = table(spark, sf, "mentions_price").where("price IS NOT NULL").select("ref", F.col("price").alias("price_raw")).distinct()
+    lanes = m.withColumn("lane", F.pmod(F.xxhash64("ref", "price_raw"), F.lit(512)))
+    numbered = batching.chunks(lanes, ["lane"], ["ref", "price_raw"], size)
+    return numbered.select(F.concat_ws("#", F.col("lane").cast("string"), F.col("chunk").cast("string")).alias("batch"), "idx", "price_raw")
+
+
+_READ = "idx int, batch string, price_raw string, price_numeric double, currency_original string, quantity double, time_unit string, confidence double"
+
+
 @query()
 def prices_read_by_rule(spark, sf):
     """The price texts of all mentions through the rule backend, in batches of fifty; the backend reads no other field."""
-    m = table(spark, sf, "mentions_price").where("price IS NOT NULL").select("ref", F.col("price").alias("price_raw")).distinct()
-    lanes = m.withColumn("lane", F.pmod(F.xxhash64("ref", "price_raw"), F.lit(512)))
-    numbered = batching.chunks(lanes, ["lane"], ["ref", "price_raw"], 50)
-    keyed = numbered.select(F.concat_ws("#", F.col("lane").cast("string"), F.col("chunk").cast("string")).alias("batch"), "idx", "price_raw")
-    schema = "idx int, batch string, price_numeric double, currency_original string, quantity double, time_unit string, confidence double"
-    return backends.run_batches(keyed, backends.RuleBackend, schema)
+    done = backends.run_batches(_numbered_prices(spark, sf, 50), backends.RuleBackend, _READ)
+    return backends.answered(done).drop("price_raw")
+
+
+class _Picky(backends.RuleBackend):
+    """Fails on every batch in which a text has no digit."""
+
+    def call(self, inputs):
+        return None if any(not any(c.isdigit() for c in x["price_raw"]) for x in inputs) else super().call(inputs)
+
+
+@query("""WITH p AS (SELECT DISTINCT ref, price FROM mentions_price WHERE price IS NOT NULL)
+SELECT CASE WHEN regexp_matches(price, '\\d') THEN 'normalized' ELSE 'failed' END AS status, count(*) AS n FROM p GROUP BY 1""")
+def routed_statuses(spark, sf):
+    """Batches of eight through a backend that fails on some inputs: halving leaves just these as failed, a retry changes nothing."""
+    items = _numbered_prices(spark, sf, 8)
+    done = backends.retry_failed(items, backends.run_batches(items, _Picky, _READ), _Picky, _READ)
+    return backends.with_status(done).groupBy("status").agg(F.count(F.lit(1)).alias("n"))

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +21,7 @@ def local_session(cores: int | str = "*", app: str = "ledgerloom") -> SparkSessi
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", os.environ.get("LEDGERLOOM_DRIVER_MEMORY", "8g"))
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -29,7 +33,7 @@ def local_session(cores: int | str = "*", app: str = "ledgerloom") -> SparkSessi
 def shared_dir(spark: SparkSession) -> str:
     """The folder of spark.checkpoint.dir, which every executor reaches.
 
-    Only where the session names none (tests, one machine) is a temporary folder set.
+    Only on one machine may the session name none; then a temporary folder is set. A cluster without one is an error.
     """
     jsc = spark.sparkContext._jsc.sc()
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
@@ -37,15 +41,53 @@ def shared_dir(spark: SparkSession) -> str:
         known = jsc.getCheckpointDir()
         if known.isDefined():
             return known.get()
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
         named = "file://" + tempfile.mkdtemp(prefix="ledgerloom-")
     if not jsc.getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(named)
     return named
 
 
+_made: list[str] = []
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared folder that no other run uses."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A path under the shared folder that no other run uses; clean() deletes it."""
+    _made.append(f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+def drop(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that this run has made."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def clean(spark: SparkSession) -> None:
+    """Deletes the tables and checkpoints that this session wrote to the shared folder; call it when its results have been read."""
+    while _made:
+        drop(spark, _made.pop())
+    known = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if known.isDefined():
+        drop(spark, known.get())
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the workers of a cluster, once; on one machine they find it where the driver did."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped or re.match(r"local(\[|$)", context.master):
+        return
+    _shipped.add(context.applicationId)
+    package = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="ledgerloom-code-")) / "ledgerloom.zip"  # the driver serves it to the workers
+    with zipfile.ZipFile(target, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f"{package.name}/{f.relative_to(package)}")
+    context.addPyFile(str(target))
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -55,4 +97,5 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -32,18 +32,30 @@ def recheck(done: DataFrame, stage: str) -> DataFrame:
     return done.where(F.col("stage") != stage)
 
 
+def _pointers(spark: SparkSession, root: str) -> tuple[object, object, list[str]]:
+    """(file system, folder, names in order) of the pointers, each an empty file `number-version`."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/_pointers")
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system, folder, sorted(f.getPath().getName() for f in system.listStatus(folder)) if system.exists(folder) else []
+
+
 def rewrite(df: DataFrame, root: str) -> str:
-    """A new version beside the old one, then the pointer: readers see the old rows or the new ones, never a mixture."""
+    """A new version beside the old one, then a new pointer: readers see the old rows or the new ones, never a mixture or nothing.
+
+    Pointers are added and never overwritten, so a run that ends half-way leaves the last whole version in place.
+    """
     spark = df.sparkSession
-    name = f"v-{uuid.uuid4().hex}"
-    df.write.parquet(f"{root}/{name}")
-    spark.createDataFrame([(name,)], "version string").coalesce(1).write.mode("overwrite").json(f"{root}/_current")
-    return f"{root}/{name}"
+    version = uuid.uuid4().hex
+    df.write.parquet(f"{root}/v-{version}")
+    system, folder, names = _pointers(spark, root)
+    number = int(names[-1].split("-")[0]) + 1 if names else 0
+    system.create(spark._jvm.org.apache.hadoop.fs.Path(folder, f"{number:012d}-{version}"), False).close()
+    return f"{root}/v-{version}"
 
 
 def current(spark: SparkSession, root: str) -> DataFrame:
-    name = spark.read.schema("version string").json(f"{root}/_current").first()[0]
-    return spark.read.parquet(f"{root}/{name}")
+    """The rows of the latest version."""
+    return spark.read.parquet(f"{root}/v-{_pointers(spark, root)[2][-1].split('-')[1]}")
 
 
 def merged(parts: list[DataFrame], key: str) -> DataFrame:

@@ -152,3 +152,35 @@ def test_series_on_small_groups(spark):
     assert series.yearly_medians(df.limit(0)).count() == 0 and series.trend(df.limit(0)).count() == 0
     ties = spark.createDataFrame([("x", "b"), ("x", "a"), ("y", None)], "commodity_id string, unit string")
     assert {r.commodity_id: r.top for r in series.dominant(ties, "commodity_id", F.coalesce("unit", F.lit(""))).collect()} == {"x": "a", "y": ""}
+
+
+class Poisoned(backends.RuleBackend):
+    def call(self, inputs):
+        return None if any(x["price_raw"] == "poison" for x in inputs) else super().call(inputs)
+
+
+def test_failed_rows_come_back_and_batches_stay_whole(spark):
+    rows = [("a", i, "poison" if i == 3 else f"${i}") for i in range(8)] + [("b", i, f"{i} cents") for i in range(30)] + [(None, 0, "poison")]
+    items = spark.createDataFrame(rows, "batch string, idx int, price_raw string")
+    schema = "idx int, batch string, price_raw string, price_numeric double"
+    sizes = spark.sparkContext.accumulator(0)
+
+    class Counted(Poisoned):
+        def call(self, inputs):
+            sizes.add(len(inputs) == 30)
+            return super().call(inputs)
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        done = backends.run_batches(items, Counted, schema)
+        got = done.collect()
+        assert sizes.value == 1
+        failed = {(r.batch, r.idx, r._failed_reason, r._halving_depth) for r in got if r._failed_reason}
+        assert failed == {("a", 3, "no answer", 3), (None, 0, "no answer", 0)} and len(got) == 39
+        assert backends.answered(done).count() == 37
+        healed = backends.retry_failed(items, done, lambda: backends.RuleBackend(), schema)
+        assert backends.with_status(healed).where("status = 'failed'").count() == 0 and healed.count() == 39
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    empty = backends.run_batches(items.limit(0), Counted, schema)
+    assert empty.count() == 0 and "_failed_reason" in empty.columns
