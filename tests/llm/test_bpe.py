@@ -36,7 +36,20 @@ def test_same_ids_as_the_library_and_round_trip(spark, vocabulary):
 
 
 def test_heap_and_fold_agree(spark, vocabulary):
-    words = [w for x in TEXTS if x for w in x.encode().split() if 0 < len(w) <= 200]
-    df = spark.createDataFrame([(w.hex().upper(),) for w in words], "word string")
+    words = sorted({w for x in TEXTS if x for w in x.split() if 0 < len(w) <= 200})
+    df = spark.createDataFrame([(w,) for w in words], "word string")
     got = {r.word: list(r.ids) for r in bpe.encode_words(df, vocabulary).collect()}
-    assert all(got[w.hex().upper()] == bpe.heap_merge(vocabulary.ranks, w) for w in words)
+    assert all(got[w] == bpe.heap_merge(vocabulary.ranks, w.encode()) for w in words)
+
+
+def test_frequent_and_rare_words_come_out_alike(spark, vocabulary, monkeypatch):
+    docs = spark.createDataFrame([(i, f"Zebulonshire qwxzt{i % 7} frabjous{i}") for i in range(60)], "doc_id bigint, text string")
+    sent = sorted((r.doc_id, list(r.ids)) for r in bpe.encode(docs, vocabulary).collect())
+    monkeypatch.setattr(bpe, "FREQUENT", 0)
+    assert sent == sorted((r.doc_id, list(r.ids)) for r in bpe.encode(docs, vocabulary).collect())
+
+
+def test_joining_many_pieces(spark, vocabulary):
+    text = "wheat & barley; " * 5000
+    docs = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    assert bpe.encode(docs, vocabulary).select(bpe.decode(vocabulary, F.col("ids"))).first()[0] == text
