@@ -90,6 +90,9 @@ class Places:
         for e, town, _, _ in entries:
             by_town.setdefault(" ".join(words(town)), set()).add(e)
         self.by_town = by_town
+        self.towns_of: dict[str, set[str]] = {}
+        for e, town, code, _ in entries:
+            self.towns_of.setdefault(code, set()).add(" ".join(words(town)))
         self.towns = Mentions((a, t) for t in by_town for a in _aliases(t.split()))
         forms = {(" ".join(words(n)), c) for _, _, c, n in entries} | {(c.lower(), c) for _, _, c, _ in entries}
         forms |= {(f.replace("_", " "), c) for _, _, c, _ in entries for f in STATE_FORMS.get(c, "").split()}
@@ -115,7 +118,7 @@ class Places:
         """The place_id or none, and the letters of the name that was found less twice the edits; nought if none was."""
         tokens = words(value)
         state, rest = self._state(tokens)
-        inside = {t for t, es in self.by_town.items() if any(self.state_of[e] == state for e in es)} if state else None
+        inside = self.towns_of.get(state, set()) if state else None
         plain = [self.expand.get(w, w) for w in rest if w not in FILLERS]
         mentions = self.towns.find(rest) or self.towns.find(tokens)
         towns = mentions[0][2] if mentions else frozenset()
