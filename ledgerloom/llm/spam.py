@@ -45,18 +45,27 @@ LINK = re.compile(r"<a\b[^>]*>|</a>|\[[^\]\n]*\]\([^)\s]*\)|(?:https?://|www\.)\
 #: Lines without any of these hold no link; most lines of prose are passed over at this cost.
 MAYBE_LINK = re.compile(r"<a|</a|\]\(|://|www\.|[\w-]\.[A-Za-z]{2}", re.I)
 WORD = re.compile(r"#?[^\W_]+(?:['’][^\W_]+)*", re.U)
-#: Signs, scripts and control characters that no page of words is made of.
-ODD = re.compile("[\x00-\x08\x0b\x0c\x0e-\x1f\u0250-\u1fff\u2000-\u200f\u2030-\uffff\U00010000-\U0010ffff]|[$_]{3,}")
-#: Sums of money, as lists of prices quote them.
-MONEY = re.compile(r"[$£] ?\d|\d[½¼¾]? ?(?:cents?|cts?|dollars?|dolls?|francs?|shillings?)\b", re.I)
-FEATURES = (
+#: Patterns counted on the JVM side. Signs, scripts and control characters that no page of words is made of; sums of money, as lists
+#: of prices quote them; ends of sentences; words with a capital; words; what parts a list.
+ODD = r"[\x{0}-\x{8}\x{b}\x{c}\x{e}-\x{1f}\x{250}-\x{1fff}\x{2000}-\x{200f}\x{2030}-\x{ffff}\x{10000}-\x{10ffff}]|[$_]{3,}"
+MONEY = r"(?i)[$£] ?\d|\d[½¼¾]? ?(?:cents?|cts?|dollars?|dolls?|francs?|shillings?)\b"
+SENTENCE = r"[.!?](?:\s|$)"
+CAPITAL = r"(?<![\p{L}\p{N}'’])\p{Lu}"
+ANY_WORD = r"[\p{L}\p{N}]+(?:['’][\p{L}\p{N}]+)*"
+BREAK = r"[,;|*•·\n]+| - | \. "
+#: Features that need the page's words one by one, and those that are counts of a pattern.
+WORDWISE = (
     "n_words", "link_share", "label_share", "tag_share", "number_share", "small_share", "repeat_share", "distinct_share", "top_share",
-    "keyword_stretches", "bigram_share", "sentence_rate", "capital_share", "short_piece_share", "odd_share", "spam_share", "money_share",
+    "keyword_stretches", "bigram_share", "spam_share",
 )
+COUNTED = ("sentence_rate", "capital_share", "short_piece_share", "odd_share", "money_share")
+FEATURES = WORDWISE + COUNTED
+#: Which of COUNTED are divided by the page's number of words.
+PER_WORD = np.array([1.0, 1.0, 0.0, 0.0, 1.0])
 
 
 def features(text: str) -> list[float]:
-    """The numbers named in FEATURES; shares are of the page's words. A page without words gives noughts."""
+    """The numbers named in WORDWISE; shares are of the page's words. A page without words gives noughts."""
     kinds: list[str] = []  # l link, b label beside a link, t tag, n number, s small word, w other
     words: list[str] = []
     for line in re.split(r"[\r\n]+", text):
@@ -76,7 +85,7 @@ def features(text: str) -> list[float]:
                 kinds.append("l")
     n = len(words)
     if not n:
-        return [0.0] * len(FEATURES)
+        return [0.0] * len(WORDWISE)
     kind = Counter(kinds)
     count = Counter(w for w, k in zip(words, kinds) if k in "wbt")
     often = max(3, n * 0.02)
@@ -94,16 +103,21 @@ def features(text: str) -> list[float]:
         odd = len(rest) > 0 and small <= 0.3 * len(ks) and number <= 0.25 * len(ks) and heavy >= 0.45 * len(rest)
         bad += odd
         spam += given + (len(ks) - given if odd or given > 0.7 * len(ks) else 0)
-    pieces = [p for p in re.split(r"[,;|*•·\n]+| - | \. ", text) if p.strip()]
-    short = sum(len(WORD.findall(p)) <= 5 for p in pieces)
     return [
         float(n), kind["l"] / n, kind["b"] / n, kind["t"] / n, kind["n"] / n, kind["s"] / n, repeat / n, len(set(words)) / n,
-        max(count.values(), default=0) / n, bad / (-(-n // STRETCH)), bigrams / n, len(re.findall(r"[.!?](?:\s|$)", text)) / n,
-        sum([w[0].isupper() for w in WORD.findall(text)]) / n, short / max(1, len(pieces)), len(ODD.findall(text)) / len(text), spam / n,
-        len(MONEY.findall(text)) / n,
+        max(count.values(), default=0) / n, bad / (-(-n // STRETCH)), bigrams / n, spam / n,
     ]
 
 
+def counted(text: Column) -> list[Column]:
+    """What COUNTED are made of, by built-in expressions: counts where PER_WORD is 1, else shares."""
+    count = lambda pattern: F.regexp_count(text, F.lit(pattern))
+    pieces = F.filter(F.split(text, BREAK), lambda p: p.rlike(r"\S"))
+    short = F.size(F.filter(pieces, lambda p: F.regexp_count(p, F.lit(ANY_WORD)) <= 5)) / F.greatest(F.size(pieces), F.lit(1))
+    odd = F.regexp_count(text, F.lit(ODD)) / F.greatest(F.length(text), F.lit(1))
+    return [x.cast("double").alias(c) for x, c in zip((count(SENTENCE), count(CAPITAL), short, odd, count(MONEY)), COUNTED, strict=True)]
+
+
 def votes() -> dict[str, Column]:
     """The labelling functions: 1 for spam, 0 for none, null to abstain."""
     c = F.col
@@ -135,13 +149,15 @@ def with_features(docs: DataFrame, id_col: str, text_col: str, host_col: str) ->
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            got = pd.DataFrame(np.array([features(t) for t in pdf["text"]]).reshape(len(pdf), len(FEATURES)), columns=list(FEATURES))
+            got = pd.DataFrame(np.array([features(t) for t in pdf["text"]]).reshape(len(pdf), len(WORDWISE)), columns=list(WORDWISE))
+            got[list(COUNTED)] = pdf[list(COUNTED)].to_numpy() / np.maximum(got[["n_words"]].to_numpy(), 1.0) ** PER_WORD
             yield pd.concat([pdf[["doc_id", "host"]].reset_index(drop=True), got], axis=1)
 
     kept = docs.select(F.col(id_col).alias("doc_id"), F.col(host_col).cast("string").alias("host"), F.col(text_col).alias("text"))
+    kept = kept.where(F.col("text").rlike(r"\S")).select("*", *counted(F.col("text")))
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"doc_id {kind}, host string, " + ", ".join(f"{f} double" for f in FEATURES)
-    return kept.where(F.col("text").rlike(r"\S")).mapInPandas(run, schema)
+    return kept.mapInPandas(run, schema)
 
 
 def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", train_rows: int = TRAIN_ROWS) -> DataFrame:

@@ -58,7 +58,7 @@ def test_degenerate_tables(spark):
     assert spam.scores(spark.createDataFrame([], cols)).count() == 0
     one = spark.createDataFrame([(1, "h", article(R)), (2, "h", None), (3, "h", " "), (4, None, "wheat"), (4, None, "wheat"), (5, "h", "word " * 40_000)], cols)
     assert sorted(r.doc_id for r in spam.scores(one).collect()) == [1, 4, 4, 5]
-    assert spam.features("") == spam.features("...") == [0.0] * len(spam.FEATURES)
+    assert spam.features("") == spam.features("...") == [0.0] * len(spam.WORDWISE)
 
 
 def test_the_forest_decides_where_the_labels_abstain(spark, pages):
