@@ -46,12 +46,11 @@ LINK = re.compile(r"<a\b[^>]*>|</a>|\[[^\]\n]*\]\([^)\s]*\)|(?:https?://|www\.)\
 MAYBE_LINK = re.compile(r"<a|</a|\]\(|://|www\.|[\w-]\.[A-Za-z]{2}", re.I)
 WORD = re.compile(r"#?[^\W_]+(?:['’][^\W_]+)*", re.U)
 #: Patterns counted on the JVM side. Signs, scripts and control characters that no page of words is made of; sums of money, as lists
-#: of prices quote them; ends of sentences; words with a capital; words; what parts a list.
-ODD = r"[\x{0}-\x{8}\x{b}\x{c}\x{e}-\x{1f}\x{250}-\x{1fff}\x{2000}-\x{200f}\x{2030}-\x{ffff}\x{10000}-\x{10ffff}]|[$_]{3,}"
+#: of prices quote them; ends of sentences; capitals; what parts a list.
+ODD = r"[^\t\n\r\x{20}-\x{24f}\x{2010}-\x{202f}]|[$_]{3,}"
 MONEY = r"(?i)[$£] ?\d|\d[½¼¾]? ?(?:cents?|cts?|dollars?|dolls?|francs?|shillings?)\b"
 SENTENCE = r"[.!?](?:\s|$)"
-CAPITAL = r"(?<![\p{L}\p{N}'’])\p{Lu}"
-ANY_WORD = r"[\p{L}\p{N}]+(?:['’][\p{L}\p{N}]+)*"
+CAPITAL = r"\p{Lu}"
 BREAK = r"[,;|*•·\n]+| - | \. "
 #: Features that need the page's words one by one, and those that are counts of a pattern.
 WORDWISE = (
@@ -112,8 +111,8 @@ def features(text: str) -> list[float]:
 def counted(text: Column) -> list[Column]:
     """What COUNTED are made of, by built-in expressions: counts where PER_WORD is 1, else shares."""
     count = lambda pattern: F.regexp_count(text, F.lit(pattern))
-    pieces = F.filter(F.split(text, BREAK), lambda p: p.rlike(r"\S"))
-    short = F.size(F.filter(pieces, lambda p: F.regexp_count(p, F.lit(ANY_WORD)) <= 5)) / F.greatest(F.size(pieces), F.lit(1))
+    pieces = F.filter(F.transform(F.split(text, BREAK), F.trim), lambda p: p != "")
+    short = F.size(F.filter(pieces, lambda p: F.length(p) - F.length(F.replace(p, F.lit(" "), F.lit(""))) <= 4)) / F.greatest(F.size(pieces), F.lit(1))
     odd = F.regexp_count(text, F.lit(ODD)) / F.greatest(F.length(text), F.lit(1))
     return [x.cast("double").alias(c) for x, c in zip((count(SENTENCE), count(CAPITAL), short, odd, count(MONEY)), COUNTED, strict=True)]
 
